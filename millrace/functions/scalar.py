@@ -14,6 +14,17 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def double_array(values: Iterable[float]) -> Column:
+    """Constant array of doubles, parsed as one expression (a model row, not data)."""
+    return F.expr("array(" + ", ".join(f"double('{float(x)!r}')" for x in values) + ")")
+
+
+def weighted_sum(columns: Iterable[str], weights: Iterable[float], start: float = 0.0) -> Column:
+    """``start + sum w_j column_j`` with constant weights."""
+    terms = [f"`{c}` * double('{float(w)!r}')" for c, w in zip(columns, weights)]
+    return F.expr(" + ".join([f"double('{float(start)!r}')", *terms]))
+
+
 def key_hash(key: str | Column, seed: int = 0) -> Column:
     """Portable hash of a non-negative integer key, in ``[0, 1000003)``."""
     return F.pmod(col(key).cast("bigint") * 7919 + F.lit(seed * 104729).cast("bigint"), F.lit(HASH_PRIME))

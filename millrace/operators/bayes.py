@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.scalar import double_array
+
 SMOOTHING = 1e-9
 
 
@@ -36,9 +38,8 @@ class GaussianNB:
         out = []
         for c in self.classes:
             offset = math.log(self.count[c] / total) - 0.5 * sum(math.log(2 * math.pi * v) for v in self.var[c])
-            params = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(v).alias("v"))
-                               for m, v in zip(self.mean[c], self.var[c])])
-            terms = F.zip_with(x, params, lambda a, p: (a - p["m"]) * (a - p["m"]) / p["v"])
+            gaps = F.zip_with(x, double_array(self.mean[c]), lambda a, m: (a - m) * (a - m))
+            terms = F.zip_with(gaps, double_array(self.var[c]), lambda g, v: g / v)
             out.append(F.lit(offset) - 0.5 * F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t))
         return out
 

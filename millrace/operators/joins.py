@@ -41,9 +41,10 @@ def nearest_center(centers: list[list[float]], coords: list[str]) -> Column:
     """
     options = []
     for i, center in enumerate(centers):
-        d2 = sum(((F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip(coords, center)), F.lit(0.0))
-        options.append(F.struct(d2.alias("d2"), F.lit(i).alias("idx")))
-    return F.array_min(F.array(*options))
+        gaps = [f"(`{c}` - double('{float(v)!r}'))" for c, v in zip(coords, center)]
+        d2 = " + ".join(["0D", *[f"{g} * {g}" for g in gaps]])
+        options.append(f"struct({d2} AS d2, {i} AS idx)")
+    return F.array_min(F.expr(f"array({', '.join(options)})"))
 
 
 def nearest_center_join(df: DataFrame, centers: list[list[float]], coords: list[str]) -> DataFrame:

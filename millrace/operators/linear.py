@@ -9,12 +9,12 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalar import key_hash, sigmoid
+from millrace.functions.scalar import key_hash, sigmoid, weighted_sum
 from millrace.session import cut
 
 
 def linear_score(features: list[str], weights, bias: float = 0.0) -> Column:
-    return sum((F.col(f).cast("double") * F.lit(float(w)) for f, w in zip(features, weights)), F.lit(float(bias)))
+    return weighted_sum(features, weights, bias)
 
 
 def logreg_gradient_ascent(df: DataFrame, features: list[str], label: str, alpha: float = 0.001,

@@ -6,7 +6,7 @@ import importlib
 
 from millrace.plans.registry import ORACLES, QUERIES
 
-MODULES = ("preparation", "recommend", "scoring")
+MODULES = ("preparation", "recommend", "scoring", "supervised", "unsupervised")
 
 for _name in MODULES:
     importlib.import_module(f"millrace.plans.{_name}")

@@ -22,6 +22,7 @@ def build_session(app: str = "millrace", master: str = "local[8]", **conf) -> Sp
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in conf.items():
