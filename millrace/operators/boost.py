@@ -20,7 +20,6 @@ import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from millrace.functions.scalar import sigmoid, uniform
 from millrace.session import cut
@@ -176,11 +175,11 @@ class BoostModel:
         for t, tree in enumerate(self.trees):
             for i, n in sorted(tree.nodes.items()):
                 if n.feature < 0:
-                    rows.append((t, i, tree.cls, None, None, None, None, None, n.leaf * tree.weight, None, n.h))
+                    rows.append((t, i, tree.cls, None, None, None, None, None, float(n.leaf * tree.weight), None, float(n.h)))
                 else:
                     yes, no = 2 * i + 1, 2 * i + 2
                     rows.append((t, i, tree.cls, n.feature, n.threshold, yes, no, yes if n.missing_left else no,
-                                 None, n.gain, n.h))
+                                 None, float(n.gain), float(n.h)))
         return spark.createDataFrame(rows, NODE_SCHEMA)
 
     def save(self, spark, path: str) -> None:
@@ -194,19 +193,18 @@ class BoostModel:
         """One margin column per class from the first ``n_trees`` trees."""
         trees = self.trees if n_trees is None else self.trees[:n_trees]
         start = F.lit(self.base_margin()) if base is None else base
-        values = [F.col(f).cast("double") for f in self.features]
         classes = max(1, self.params.num_class)
         if sum(len(t.nodes) for t in trees) > CASE_NODES:
-            sums = _walk(trees, classes)(F.array(*values))
+            sums = _walk(trees, classes)(F.array(*[F.col(f).cast("double") for f in self.features]))
             return [start + sums[c] for c in range(classes)]
 
-        def test(n: Node) -> Column:
-            x = values[n.feature]
-            return F.coalesce(x < n.threshold, F.lit(n.missing_left))
+        def test(n: Node) -> str:
+            below = f"CAST(`{self.features[n.feature]}` AS DOUBLE) < double('{float(n.threshold)!r}')"
+            return f"coalesce({below}, {str(n.missing_left).lower()})"
 
         out = []
         for c in range(classes):
-            terms = [_case(t, 0, test) * t.weight for t in trees if t.cls == c]
+            terms = [_case(t, test) for t in trees if t.cls == c]
             out.append(sum(terms, start))
         return out
 
@@ -251,11 +249,14 @@ def trees_from_table(table: DataFrame) -> list[Tree]:
     return [trees[t] for t in sorted(trees)]
 
 
-def _case(tree: Tree, i: int, test: Callable[[Node], Column]) -> Column:
-    node = tree.nodes[i]
-    if node.feature < 0:
-        return F.lit(float(node.leaf))
-    return F.when(test(node), _case(tree, 2 * i + 1, test)).otherwise(_case(tree, 2 * i + 2, test))
+def _case(tree: Tree, test: Callable[[Node], str]) -> Column:
+    """Leaf value of a tree as one parsed CASE expression."""
+    def walk(i: int) -> str:
+        n = tree.nodes[i]
+        if n.feature < 0:
+            return f"double('{float(n.leaf * tree.weight)!r}')"
+        return f"CASE WHEN {test(n)} THEN {walk(2 * i + 1)} ELSE {walk(2 * i + 2)} END"
+    return F.expr(walk(0))
 
 
 def _walk(trees: list[Tree], classes: int):
@@ -309,18 +310,18 @@ def bin_rows(df: DataFrame, features: list[str], cuts: list[list[float]]) -> Col
     return binned.withColumn("bins", F.array(*cells)).drop(*names, *[f"_x{j}" for j in range(len(features))])
 
 
-def _bin_test(n: Node) -> Column:
-    b = F.col("bins")[n.feature]
-    return F.when(b == MISSING, F.lit(n.missing_left)).otherwise(b < n.bin)
+def _bin_test(n: Node) -> str:
+    b = f"bins[{n.feature}]"
+    return f"(CASE WHEN {b} = {MISSING} THEN {str(n.missing_left).lower()} ELSE {b} < {n.bin} END)"
 
 
 def _node_of(tree: Tree) -> Column:
-    def walk(i: int) -> Column:
+    def walk(i: int) -> str:
         n = tree.nodes[i]
         if n.feature < 0:
-            return F.lit(i)
-        return F.when(_bin_test(n), walk(2 * i + 1)).otherwise(walk(2 * i + 2))
-    return walk(0)
+            return str(i)
+        return f"CASE WHEN {_bin_test(n)} THEN {walk(2 * i + 1)} ELSE {walk(2 * i + 2)} END"
+    return F.expr(walk(0))
 
 
 class NewtonBoost:
@@ -388,7 +389,7 @@ class NewtonBoost:
         trees = self.model.trees if self.p.dart else self.pending
         out = []
         for c in range(max(1, self.p.num_class)):
-            terms = [_case(t, 0, _bin_test) * t.weight for i, t in enumerate(trees) if t.cls == c and i not in dropped]
+            terms = [_case(t, _bin_test) for i, t in enumerate(trees) if t.cls == c and i not in dropped]
             out.append(sum(terms, F.col("m")[c]))
         return out
 
@@ -493,7 +494,7 @@ class NewtonBoost:
         moved = at
         for i, n in tree.nodes.items():
             if n.feature >= 0 and 2 * i + 1 in tree.nodes and i >= 2 ** INLINE_DEPTH - 1:
-                moved = F.when(at == i, F.when(_bin_test(n), F.lit(2 * i + 1)).otherwise(2 * i + 2)).otherwise(moved)
+                moved = F.when(at == i, F.when(F.expr(_bin_test(n)), F.lit(2 * i + 1)).otherwise(2 * i + 2)).otherwise(moved)
         return moved
 
     @staticmethod
@@ -506,15 +507,15 @@ class NewtonBoost:
         rows = [(s, i, int(f)) for s, i in sorted(active) for f in self._pick(rng, allowed[s], self.p.colsample_bynode)]
         return spark.createDataFrame(rows, "s int, node int, f int")
 
-    def _score(self, g: Column, h: Column) -> Column:
+    def _score(self, g: str, h: str) -> str:
         """Twice the loss that the best weight of a node takes away."""
         p = self.p
+        t = f"greatest(abs({g}) - {p.reg_alpha}D, 0D)" if p.reg_alpha else g
         if not p.delta_limit:
-            t = F.greatest(F.abs(g) - p.reg_alpha, F.lit(0.0)) if p.reg_alpha else g
-            return t * t / (h + p.reg_lambda)
-        t = F.sign(g) * F.greatest(F.abs(g) - p.reg_alpha, F.lit(0.0))
-        w = F.greatest(F.least(-t / (h + p.reg_lambda), F.lit(p.delta_limit)), F.lit(-p.delta_limit))
-        return -2 * (g * w + 0.5 * (h + p.reg_lambda) * w * w + p.reg_alpha * F.abs(w))
+            return f"({t}) * ({t}) / ({h} + {p.reg_lambda}D)"
+        m = p.delta_limit
+        w = f"greatest(least(-sign({g}) * abs({t}) / ({h} + {p.reg_lambda}D), {m}D), -{m}D)"
+        return f"-2 * ({g} * {w} + 0.5D * ({h} + {p.reg_lambda}D) * {w} * {w} + {p.reg_alpha}D * abs({w}))"
 
     def _weight(self, g: float, h: float) -> float:
         p = self.p
@@ -525,30 +526,19 @@ class NewtonBoost:
 
     def _split(self, hist: DataFrame, slots: list[Tree]) -> set[tuple[int, int]]:
         """Best split per node from prefix sums over at most max_bins + 2 bins, and the new nodes."""
-        p = self.p
-        whole = W.partitionBy("s", "node", "f")
-        ahead = whole.orderBy("b").rowsBetween(W.unboundedPreceding, -1)
-        seen = F.col("b") >= 0
-        z = F.lit(0.0)
-        sums = hist.select(
-            "s", "node", "f", "b",
-            F.sum("g").over(whole).alias("G"), F.sum("h").over(whole).alias("H"),
-            F.coalesce(F.sum(F.when(~seen, F.col("g"))).over(whole), z).alias("gm"),
-            F.coalesce(F.sum(F.when(~seen, F.col("h"))).over(whole), z).alias("hm"),
-            F.coalesce(F.sum(F.when(seen, F.col("g"))).over(ahead), z).alias("gl"),
-            F.coalesce(F.sum(F.when(seen, F.col("h"))).over(ahead), z).alias("hl"))
-        options = []
-        for left in (True, False):
-            gl = F.col("gl") + F.col("gm") if left else F.col("gl")
-            hl = F.col("hl") + F.col("hm") if left else F.col("hl")
-            gr, hr = F.col("G") - gl, F.col("H") - hl
-            fits = seen & (hl >= p.min_child_weight) & (hr >= p.min_child_weight) & (hl > 0) & (hr > 0)
-            gain = self._score(gl, hl) + self._score(gr, hr) - self._score(F.col("G"), F.col("H"))
-            options.append(F.struct(
-                F.when(fits, gain).otherwise(F.lit(-1.0)).alias("gain"), (-F.col("f")).alias("nf"),
-                (-F.col("b")).alias("nb"), F.lit(left).alias("left"), gl.alias("gl"), hl.alias("hl")))
-        best = sums.groupBy("s", "node").agg(F.max("G").alias("G"), F.max("H").alias("H"),
-                                             F.max(F.greatest(*options)).alias("best"))
+        whole, ahead = "OVER (PARTITION BY s, node, f)", ("OVER (PARTITION BY s, node, f ORDER BY b ROWS BETWEEN UNBOUNDED "
+                                                          "PRECEDING AND 1 PRECEDING)")
+        sums = hist.selectExpr(
+            "s", "node", "f", "b", f"sum(g) {whole} AS G", f"sum(h) {whole} AS H",
+            f"coalesce(sum(CASE WHEN b < 0 THEN g END) {whole}, 0D) AS gm", f"coalesce(sum(CASE WHEN b < 0 THEN h END) {whole}, 0D) AS hm",
+            f"coalesce(sum(CASE WHEN b >= 0 THEN g END) {ahead}, 0D) AS gl", f"coalesce(sum(CASE WHEN b >= 0 THEN h END) {ahead}, 0D) AS hl")
+        # every place is tried with the missing rows on the left and on the right
+        options = sums.where("b >= 0").selectExpr(
+            "s", "node", "f", "b", "G", "H", "inline(array(struct(true AS left, gl + gm AS a, hl + hm AS c), struct(false AS left, gl AS a, hl AS c)))")
+        fits = "c > 0 AND H - c > 0 AND c >= {0}D AND H - c >= {0}D".format(float(self.p.min_child_weight))
+        gain = f"{self._score('a', 'c')} + {self._score('(G - a)', '(H - c)')} - {self._score('G', 'H')}"
+        best = options.groupBy("s", "node").agg(F.expr("max(G)").alias("G"), F.expr("max(H)").alias("H"), F.expr(
+            f"max(struct(CASE WHEN {fits} THEN {gain} ELSE -1D END AS gain, -f AS nf, -b AS nb, left, a AS gl, c AS hl))").alias("best"))
         active = set()
         for r in best.collect():
             tree, i, b = slots[r["s"]], r["node"], r["best"]

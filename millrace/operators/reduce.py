@@ -116,7 +116,8 @@ def isomap_landmark(points: DataFrame, k: int, dim: int, landmarks: int = 50, ma
     and every row placed by its distances to them.
 
     Landmarks are a bounded sample by hash. A round of the path search keeps, per row and
-    landmark, the smallest length over its edges; only improved rows are sent on.
+    landmark, the smallest length over its edges; only improved rows are sent on. Rows in
+    a part of the graph that the first landmark cannot reach have null coordinates.
     """
     near = knn_join(points, points, k, exclude_self=True).select(
         F.col("qid").alias("src"), F.col("cid").alias("dst"), "dist")

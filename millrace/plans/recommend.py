@@ -108,14 +108,14 @@ def _(spark, sf):
 
 @query("svd_item_factors")
 def _(spark, sf):
-    model = factor.SvdFactors(k=4, max_iter=8, tol=1e-3).fit(v.ratings(spark, sf))
+    model = factor.SvdFactors(k=4, max_iter=6, tol=1e-3).fit(v.ratings(spark, sf))
     return model.item_factors().select("i", *[F.col("x")[j].alias(f"f{j}") for j in range(4)])
 
 
 @query("svd_recommend")
 def _(spark, sf):
     r = v.ratings(spark, sf)
-    model = factor.SvdFactors(k=4, max_iter=8, tol=1e-3).fit(r)
+    model = factor.SvdFactors(k=4, max_iter=6, tol=1e-3).fit(r)
     return factor.svd_recommend(r, model, 3)
 
 
