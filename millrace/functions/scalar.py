@@ -60,8 +60,11 @@ def norm(a: str | Column) -> Column:
 
 def l2_normalize(a: str | Column) -> Column:
     """v / |v|; the zero vector stays as it is."""
-    length = norm(a)
-    return F.transform(col(a), lambda x: F.when(length > 0, x.cast("double") / length).otherwise(x.cast("double")))
+    def scale(length: Column) -> Column:
+        return F.transform(col(a), lambda x: x.cast("double") / F.when(length > 0, length).otherwise(1.0))
+
+    # as a lambda argument the length is worked out once per row, not once per element
+    return F.element_at(F.transform(F.array(norm(a)), scale), 1)
 
 
 def scaled_cosine(cosine: str | Column) -> Column:

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from millrace.operators.windows import topn_per_group
-from millrace.session import cut
+from millrace.session import cut, spread
 
 MAX_PIVOTS = 512
+CELL_ROWS = 512       # points per cell aimed at, up to MAX_PIVOTS cells
 BLOCK = 2_048
 SLACK = 1e-9
 
@@ -33,8 +34,22 @@ def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _stack(col: pd.Series) -> np.ndarray:
-    return np.array([np.asarray(v, dtype="float64") for v in col])
+def stack(col: pd.Series) -> np.ndarray:
+    return np.concatenate(col.to_numpy()).astype("float64").reshape(len(col), -1) if len(col) else np.zeros((0, 0))
+
+
+def candidates(a: np.ndarray, b: np.ndarray, limit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and column numbers and exact squared distances of the pairs that may be within a limit.
+
+    ``limit(d2)`` gives the bar per row. The matrix product only preselects, with a margin above
+    its rounding error; the kept pairs are measured by differences.
+    """
+    na, nb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    rough = na[:, None] + nb[None, :] - 2 * (a @ b.T)
+    margin = 1e-10 * (na[:, None] + nb.max() + 1.0)
+    r, c = np.nonzero(rough <= limit(rough) + margin)
+    gap = a[r] - b[c]
+    return r, c, (gap * gap).sum(axis=1)
 
 
 class Cells:
@@ -42,7 +57,7 @@ class Cells:
 
     def __init__(self, points: DataFrame, k: int, pivots: int | None = None):
         n = points.count()
-        wanted = pivots or max(1, min(MAX_PIVOTS, math.isqrt(n)))
+        wanted = pivots or max(1, min(MAX_PIVOTS, math.ceil(n / CELL_ROWS)))
         # whole-row order of the sample is by hash, so reruns pick the same pivots
         picked = points.orderBy(F.xxhash64("id"), "id").limit(wanted).select("x").collect()
         self.pivots = np.unique(np.array([r["x"] for r in picked], dtype="float64"), axis=0)
@@ -50,10 +65,11 @@ class Cells:
 
         @F.pandas_udf("struct<cell:int,d:double>")
         def assign(x: pd.Series) -> pd.DataFrame:
-            d2 = squared_distances(_stack(x), centers)
+            d2 = squared_distances(stack(x), centers)
             cell = d2.argmin(axis=1)
             return pd.DataFrame({"cell": cell.astype("int32"), "d": np.sqrt(d2[np.arange(len(d2)), cell])})
 
+        points = spread(points, "id")
         self.points = cut(points.select("id", "x", assign("x").alias("a")).select("id", "x", "a.cell", "a.d"))
         shape = self.points.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("r")).collect()
         kth = topn_per_group(self.points.select("cell", "d", "id"), ["cell"], ["d", "id"], k).groupBy("cell").agg(
@@ -73,7 +89,7 @@ class Cells:
 
         @F.pandas_udf("array<int>")
         def udf(x: pd.Series) -> pd.Series:
-            d = np.sqrt(squared_distances(_stack(x), pivots))
+            d = np.sqrt(squared_distances(stack(x), pivots))
             home = d.argmin(axis=1)
             limit = np.full(len(d), eps) if eps is not None else (d + kth[None, :]).min(axis=1)
             with np.errstate(divide="ignore", invalid="ignore"):
@@ -86,8 +102,11 @@ class Cells:
 
     def blocks(self, queries: DataFrame, eps: float | None, block: int):
         """Queries and points keyed by ``(cell, sub, chunk)``: blocks against blocks of bounded size."""
-        probes = cut(queries.select("id", "x", F.explode(self.visits(eps)("x")).alias("cell")))
+        probes = cut(spread(queries, "id").select("id", "x", F.explode(self.visits(eps)("x")).alias("cell")))
         load = {r["cell"]: r["n"] for r in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # small inputs are cut finer, so that every core has a block
+        cores = queries.sparkSession.sparkContext.defaultParallelism
+        block = min(block, max(256, math.ceil(sum(load.values()) / (2 * cores))))
         subs = F.array(*[F.lit(max(1, math.ceil(int(c) / block))) for c in self.count])
         chunks = F.array(*[F.lit(max(1, math.ceil(load.get(i, 0) / block))) for i in range(len(self.count))])
 
@@ -100,13 +119,12 @@ class Cells:
         return place(probes, "chunk", chunks, "sub", subs), points
 
 
-def _k_smallest(qid: np.ndarray, pid: np.ndarray, d: np.ndarray, k: int) -> pd.DataFrame:
-    if d.shape[1] > k:
-        bar = np.partition(d, k - 1, axis=1)[:, k - 1]
-        q, p = np.nonzero(d <= bar[:, None])
+def _k_smallest(qid: np.ndarray, pid: np.ndarray, a: np.ndarray, b: np.ndarray, k: int) -> pd.DataFrame:
+    if len(b) > k:
+        q, p, dist = candidates(a, b, lambda d: np.partition(d, k - 1, axis=1)[:, k - 1][:, None])
     else:
-        q, p = np.nonzero(np.ones_like(d, dtype=bool))
-    dist, ids = d[q, p], pid[p]
+        q, p, dist = candidates(a, b, lambda d: d)
+    ids = pid[p]
     order = np.lexsort((ids, dist, q))
     q, dist, ids = q[order], dist[order], ids[order]
     place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
@@ -122,6 +140,9 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, exclude_self: bool =
     point with the query's own id.
     """
     depth = k + 1 if exclude_self else k
+    same = queries is points
+    points = cut(points.select("id", "x"))
+    queries = points if same else cut(queries.select("id", "x"))
     # of many copies only the first ``depth`` ids can be an answer
     copies = W.partitionBy("x").orderBy("id")
     thin = points.withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= depth).drop("_c")
@@ -132,8 +153,7 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, exclude_self: bool =
     def compare(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(p):
             return pd.DataFrame({"qid": [], "cid": [], "d2": []}).astype({"qid": "int64", "cid": "int64"})
-        return _k_smallest(q["id"].to_numpy(), p["id"].to_numpy(),
-                           squared_distances(_stack(q["x"]), _stack(p["x"])), depth)
+        return _k_smallest(q["id"].to_numpy(), p["id"].to_numpy(), stack(q["x"]), stack(p["x"]), depth)
 
     keys = ["cell", "sub", "chunk"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "qid long, cid long, d2 double")
@@ -152,16 +172,16 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, exclude_self: bool =
 
 def pairs_within(points: DataFrame, eps: float, pivots: int | None = None, block: int = BLOCK) -> DataFrame:
     """``(a, b, dist)`` with ``a < b`` and a distance of at most ``eps``."""
+    points = cut(points.select("id", "x"))
     cells = Cells(points, 0, pivots)
     left, right = cells.blocks(points, eps, block)
 
     def compare(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(p):
             return pd.DataFrame({"a": [], "b": [], "dist": []}).astype({"a": "int64", "b": "int64"})
-        d = np.sqrt(squared_distances(_stack(q["x"]), _stack(p["x"])))
-        a, b = q["id"].to_numpy(), p["id"].to_numpy()
-        r, c = np.nonzero((d <= eps) & (a[:, None] < b[None, :]))
-        return pd.DataFrame({"a": a[r], "b": b[c], "dist": d[r, c]})
+        r, c, d2 = candidates(stack(q["x"]), stack(p["x"]), lambda d: eps * eps)
+        out = pd.DataFrame({"a": q["id"].to_numpy()[r], "b": p["id"].to_numpy()[c], "dist": np.sqrt(d2)})
+        return out[(out["dist"] <= eps) & (out["a"] < out["b"])]
 
     keys = ["cell", "sub", "chunk"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "a long, b long, dist double")

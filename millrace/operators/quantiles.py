@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 
 from millrace.session import cut
 
-GROUP_VALUES = 500_000   # distinct values one aggregate buffer may hold
+GROUP_VALUES = 1_000_000   # distinct values one aggregate buffer may hold
 BUCKET_ROWS = 100_000    # rows one window partition should hold
 MAX_BUCKETS = 4_000
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.nearest import knn_join
+from millrace.operators.nearest import knn_join, stack
 from millrace.session import cut
 
 MAX_DIMS = 4_096
@@ -25,7 +25,7 @@ def moments(df: DataFrame, array_col: str) -> DataFrame:
         total = None
         for pdf in batches:
             if len(pdf):
-                x = np.array([np.asarray(v, dtype="float64") for v in pdf["x"]])
+                x = stack(pdf["x"])
                 x = np.hstack([np.ones((len(x), 1)), x])
                 part = x.T @ x
                 total = part if total is None else total + part
@@ -83,7 +83,7 @@ class Pca:
 
         @F.pandas_udf("array<double>")
         def project(x: pd.Series) -> pd.Series:
-            rows = np.array([np.asarray(v, dtype="float64") for v in x])
+            rows = stack(x)
             return pd.Series(list((rows - mean) @ components.T)) if len(rows) else pd.Series([], dtype=object)
 
         return df.withColumn(out, project(F.col(array_col).cast("array<double>")))
@@ -98,7 +98,7 @@ def incremental_pca(df: DataFrame, array_col: str, batch: str, k: int) -> Pca:
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for _, part in pdf.groupby("b"):
-                x = np.array([np.asarray(v, dtype="float64") for v in part["x"]])
+                x = stack(part["x"])
                 x = np.hstack([np.ones((len(x), 1)), x])
                 total = x.T @ x
                 i, j = np.indices(total.shape)

@@ -15,7 +15,7 @@ from millrace.operators.stats import vocabulary_topn
 
 def words(text: str | Column) -> Column:
     """Blank-separated tokens of the whole text, empty ones dropped."""
-    return F.filter(F.split(text, r"\s+"), lambda t: t != "")
+    return F.array_remove(F.split(text, r"\s+"), "")
 
 
 def tokenize_corpus(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -27,21 +27,29 @@ def skipgram_pairs(df: DataFrame, key: str, text: str, window: int = 1, num_skip
                    seed: int = 0) -> DataFrame:
     """``(key, pos, offset, target, context)`` for every word within ``window`` places.
 
-    With ``num_skips`` each target keeps that many contexts, chosen by hash. Pairs are
-    made from the row's own token array, so nothing is shuffled.
+    With ``num_skips`` each target keeps that many contexts, chosen by hash. The token
+    array is zipped with its own shifted copies inside the row, so nothing is shuffled and
+    the work is linear in the length of a text.
     """
-    tokens = words(text)
     offsets = [o for o in range(-window, window + 1) if o]
-    rows = df.select(key, tokens.alias("_t")).select(key, "_t", F.posexplode("_t").alias("pos", "target"))
-    found = F.array(*[F.struct(F.lit(o).alias("offset"), F.when(
-        F.col("pos") + o >= 0, F.get("_t", F.col("pos") + o)).alias("context")) for o in offsets])
-    found = F.filter(found, lambda c: c["context"].isNotNull())
+    rows = df.select(key, words(text).alias("t")).withColumn("n", F.size("t"))
+    rows = rows.select(key, "t", *[_shifted(o).alias(f"s{n}") for n, o in enumerate(offsets)])
+    zipped = F.arrays_zip("t", *[f"s{n}" for n in range(len(offsets))])
+    rows = rows.select(key, F.posexplode(zipped).alias("pos", "z")).where(F.col("z.t").isNotNull())
+    cells = F.array(*[F.struct(F.lit(o).alias("offset"), F.col(f"z.s{n}").alias("context")) for n, o in enumerate(offsets)])
     if num_skips is not None:
-        keyed = F.transform(found, lambda c: F.struct(
+        keyed = F.transform(F.filter(cells, lambda c: c["context"].isNotNull()), lambda c: F.struct(
             F.xxhash64(F.col(key), F.col("pos"), c["offset"], F.lit(seed)).alias("h"), c.alias("c")))
-        found = F.transform(F.slice(F.array_sort(keyed), 1, num_skips), lambda c: c["c"])
-    return rows.select(key, "pos", "target", F.explode(found).alias("c")).select(
-        key, "pos", "c.offset", "target", "c.context")
+        cells = F.transform(F.slice(F.array_sort(keyed), 1, num_skips), lambda c: c["c"])
+    rows = rows.select(key, "pos", F.col("z.t").alias("target"), F.explode(cells).alias("c"))
+    return rows.where("c.context is not null").select(key, "pos", "c.offset", "target", "c.context")
+
+
+def _shifted(o: int) -> Column:
+    """Tokens moved by ``o`` places, so that place p holds token p + o (null before the first)."""
+    if o > 0:
+        return F.slice("t", o + 1, F.greatest(F.col("n") - o, F.lit(0)))
+    return F.concat(F.array_repeat(F.lit(None).cast("string"), -o), F.slice("t", 1, F.greatest(F.col("n") + o, F.lit(0))))
 
 
 def nearest_words(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
