@@ -6,7 +6,7 @@ import math
 
 from pyspark.ml.clustering import GaussianMixture, KMeans, PowerIterationClustering
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import uniform
@@ -107,12 +107,14 @@ def mean_shift(df: DataFrame, key: str, coords: list[str], bandwidth: float, max
         moved = met.groupBy(*[F.col(f"s.{c}").alias(f"o_{c}") for c in coords]).agg(
             *[(F.sum(F.col("p.w") * F.col(f"p.{c}")) / total).alias(c) for c in coords], total.alias("mass"))
         gap = F.sqrt(sum(((F.col(c) - F.col(f"o_{c}")) * (F.col(c) - F.col(f"o_{c}")) for c in coords), F.lit(0.0)))
-        moved = cut(moved.withColumn("_gap", gap))
-        stay = moved.agg(F.max("_gap")).first()[0]
-        seeds = moved.groupBy(*coords).agg(F.max("mass").alias("mass"))
-        done = seeds
-        seeds = seeds.select(*coords)
-        if stay is None or stay <= 1e-3 * bandwidth:
+        step = Observation()
+        moved = cut(moved.withColumn("_gap", gap).observe(step, F.max("_gap").alias("gap")))
+        # seeds that have met go on as one: of those in one thousandth of the bandwidth the heaviest
+        spot = [F.floor(F.col(c) / (1e-3 * bandwidth)) for c in coords]
+        heaviest = F.max(F.struct("mass", *coords)).alias("m")
+        done = moved.groupBy(*spot).agg(heaviest).select("m.*")
+        seeds = done.select(*coords)
+        if (step.get["gap"] or 0.0) <= 1e-3 * bandwidth:
             break
     modes = _merge_modes(done, coords, bandwidth)
     if len(modes) <= 64:
@@ -147,7 +149,7 @@ def _around(dims: int) -> list[tuple]:
     return steps
 
 
-def dbscan(df: DataFrame, key: str, coords: list[str], eps: float, min_samples: int) -> DataFrame:
+def dbscan(df: DataFrame, key: str, coords: list[str], eps: float, min_samples: int, light: int = 10_000) -> DataFrame:
     """``(key, kind, cluster)``: kind is core, border or noise; noise has cluster -1.
 
     A cluster is named by its smallest core id; a border row joins its nearest core row.
@@ -173,9 +175,9 @@ def dbscan(df: DataFrame, key: str, coords: list[str], eps: float, min_samples:
     dense = sized.where(F.col("cw") >= min_samples).select("id", *coords, "_cell", F.lit(True).alias("core"))
     state = cut(state.unionByName(dense))
     cores = state.where("core")
-    named = cut(cores.groupBy("_cell").agg(F.min("id").alias("cid"), *[f(c).alias(f"{n}_{c}") for c in coords
-                                                                        for n, f in (("lo", F.min), ("hi", F.max))]))
-    links = _cell_links(cores, named, coords, eps, reach)
+    ids = cores.groupBy("_cell").agg(F.min("id").alias("cid"))
+    named = cut(_boxes(cores, ["_cell"], coords).join(ids, "_cell").withColumn("own", F.col("_cell")))
+    links = _cell_links(cores, named, coords, eps, reach, side, light)
     comp = connected_components(named.select(F.col("cid").alias("id")), links)
     cell_cluster = named.join(comp.withColumnRenamed("id", "cid"), "cid").select("_cell", F.col("component").alias("cluster"))
     core_rows = cores.join(cell_cluster, "_cell").select("id", *coords, "_cell", "cluster")
@@ -191,24 +193,58 @@ def dbscan(df: DataFrame, key: str, coords: list[str], eps: float, min_samples:
     return df.select(key, *coords).join(labelled, coords).select(key, "kind", "cluster")
 
 
-def _cell_links(cores: DataFrame, named: DataFrame, coords: list[str], eps: float, reach: int) -> DataFrame:
-    """Links between core cells. Boxes settle most pairs; only the undecided compare rows."""
+def _cell_links(cores: DataFrame, named: DataFrame, coords: list[str], eps: float, reach: int, side: float,
+                light: int) -> DataFrame:
+    """Links between core cells that have two core rows within eps.
+
+    Bounding boxes settle a pair when their span is within eps or their gap is not. An open
+    pair with at most ``light`` row pairs compares rows; any other is tried again on boxes
+    of half the size, down to single rows. So a full cell never meets a full cell row by row.
+    """
     around = named.withColumn("_cell", F.explode(neighbour_cells("_cell", len(coords), reach, skip_own=True)))
-    pairs = around.alias("l").join(named.alias("r"), "_cell").where(F.col("l.cid") < F.col("r.cid"))
-    gap2, span2 = F.lit(0.0), F.lit(0.0)
-    for c in coords:
-        gap = F.greatest(F.col(f"r.lo_{c}") - F.col(f"l.hi_{c}"), F.col(f"l.lo_{c}") - F.col(f"r.hi_{c}"), F.lit(0.0))
-        span = F.greatest(F.col(f"r.hi_{c}") - F.col(f"l.lo_{c}"), F.col(f"l.hi_{c}") - F.col(f"r.lo_{c}"))
-        gap2, span2 = gap2 + gap * gap, span2 + span * span
-    pairs = pairs.select(F.col("l.cid").alias("src"), F.col("r.cid").alias("dst"),
-                         F.sqrt(gap2).alias("gap"), F.sqrt(span2).alias("span")).where(F.col("gap") <= eps)
-    pairs = cut(pairs)
+    open_pairs = _measure(around.alias("l").join(named.alias("r"), "_cell").where(F.col("l.cid") < F.col("r.cid")),
+                          coords).where(F.col("gap") <= eps)
     rows = cores.join(named.select("_cell", "cid"), "_cell").select("cid", *coords)
-    open_pairs = pairs.where(F.col("span") > eps).select("src", "dst")
-    met = open_pairs.join(rows.alias("l"), F.col("src") == F.col("l.cid")).join(
-        rows.alias("r"), F.col("dst") == F.col("r.cid"))
-    close = met.where(euclid("l", "r", coords) <= eps).groupBy("src", "dst").agg(F.lit(1).alias("one"))
-    return pairs.where(F.col("span") <= eps).select("src", "dst").unionByName(close.select("src", "dst"))
+    open_pairs = cut(open_pairs.select("src", "dst", "lcell", "rcell", "span", "work"))
+    links, width = None, side
+    while True:
+        sure = open_pairs.where(F.col("span") <= eps).select("src", "dst")
+        rest = open_pairs.where(F.col("span") > eps).join(sure, ["src", "dst"], "left_anti")
+        few = rest.where(F.col("work") <= light)
+        l, r = (rows.withColumn("_k", grid_cell(coords, width)).alias(n) for n in ("l", "r"))
+        met = few.join(l, (F.col("src") == F.col("l.cid")) & (F.col("lcell") == F.col("l._k"))).join(
+            r, (F.col("dst") == F.col("r.cid")) & (F.col("rcell") == F.col("r._k")))
+        close = met.where(euclid("l", "r", coords) <= eps).select("src", "dst")
+        found = cut(sure.unionByName(close).distinct())
+        links = found if links is None else links.unionByName(found)
+        many = cut(rest.where(F.col("work") > light).join(found, ["src", "dst"], "left_anti"))
+        if many.isEmpty():
+            return links.distinct()
+        half = rows.withColumns({"_p": grid_cell(coords, width), "own": grid_cell(coords, width / 2)})
+        boxes = _boxes(half, ["cid", "_p", "own"], coords)
+        width /= 2
+        tried = many.select("src", "dst", "lcell", "rcell").alias("o").join(
+            boxes.alias("l"), (F.col("o.src") == F.col("l.cid")) & (F.col("o.lcell") == F.col("l._p"))).join(
+            boxes.alias("r"), (F.col("o.dst") == F.col("r.cid")) & (F.col("o.rcell") == F.col("r._p")))
+        open_pairs = cut(_measure(tried, coords).where(F.col("gap") <= eps).select(
+            "src", "dst", "lcell", "rcell", "span", "work"))
+
+
+def _boxes(rows: DataFrame, by: list[str], coords: list[str]) -> DataFrame:
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[
+        f(c).alias(f"{n}_{c}") for c in coords for n, f in (("lo", F.min), ("hi", F.max))])
+
+
+def _measure(pairs: DataFrame, coords: list[str]) -> DataFrame:
+    """Smallest and largest possible distance between the boxes ``l`` and ``r``."""
+    gap, span = ["0D"], ["0D"]
+    for c in coords:
+        near = f"greatest(r.lo_{c} - l.hi_{c}, l.lo_{c} - r.hi_{c}, 0D)"
+        far = f"greatest(r.hi_{c} - l.lo_{c}, l.hi_{c} - r.lo_{c})"
+        gap.append(f"{near} * {near}")
+        span.append(f"{far} * {far}")
+    return pairs.selectExpr("l.cid AS src", "r.cid AS dst", "l.own AS lcell", "r.own AS rcell", f"sqrt({' + '.join(gap)}) AS gap",
+                            f"sqrt({' + '.join(span)}) AS span", "l.n * r.n AS work")
 
 
 def spectral_clusters(points: DataFrame, k: int, neighbours: int = 10, max_iter: int = 20) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.session import cut
@@ -18,8 +18,11 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
         F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
     before = None
     for _ in range(max_rounds):
-        links = cut(_star(_star(links, large=True), large=False))
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
+        seen = Observation()
+        stars = _star(_star(links, large=True), large=False)
+        links = cut(stars.observe(seen, F.count(F.lit(1)).alias("n"),
+                                  F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)")).alias("h")))
+        now = (seen.get["n"], seen.get["h"])
         if now == before:
             break
         before = now

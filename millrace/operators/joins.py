@@ -53,18 +53,19 @@ def nearest_center_join(df: DataFrame, centers: list[list[float]], coords: list[
 
 
 def grid_cell(coords: list[str], side: float) -> Column:
-    return F.array(*[F.floor(F.col(c) / F.lit(float(side))).cast("bigint") for c in coords])
+    return F.expr("array(" + ", ".join(f"CAST(floor(`{c}` / double('{float(side)!r}')) AS BIGINT)" for c in coords) + ")")
 
 
 def neighbour_cells(cell: str, dims: int, reach: int = 1, skip_own: bool = False) -> Column:
     """The cells at most ``reach`` steps away in every dimension, as an array of cells."""
     offsets = [o for o in itertools.product(range(-reach, reach + 1), repeat=dims) if not (skip_own and not any(o))]
-    return F.array(*[F.array(*[F.col(cell)[i] + F.lit(o[i]) for i in range(dims)]) for o in offsets])
+    cells = ("array(" + ", ".join(f"{cell}[{i}] + {o[i]}L" for i in range(dims)) + ")" for o in offsets)
+    return F.expr(f"array({', '.join(cells)})")
 
 
 def euclid(left: str, right: str, coords: list[str]) -> Column:
-    return F.sqrt(sum(((F.col(f"{left}.{c}") - F.col(f"{right}.{c}")) * (F.col(f"{left}.{c}") - F.col(f"{right}.{c}"))
-                       for c in coords), F.lit(0.0)))
+    gaps = [f"({left}.`{c}` - {right}.`{c}`)" for c in coords]
+    return F.expr("sqrt(" + " + ".join(["0D", *[f"{g} * {g}" for g in gaps]]) + ")")
 
 
 def epsilon_range_join(df: DataFrame, key: str, coords: list[str], eps: float, cell_rows: int = 50_000) -> DataFrame:

@@ -182,12 +182,13 @@ def brute_dbscan(x, eps, least):
     return core, label
 
 
-def test_dbscan_brute_force(spark):
+@pytest.mark.parametrize("light", [10_000, 1])
+def test_dbscan_brute_force(spark, light):
     x = np.vstack([rng.normal(size=(120, 2)) * 0.3, rng.normal(size=(100, 2)) * 0.3 + 2, rng.random((60, 2)) * 4 - 1,
                    np.tile([[3.5, -0.5]], (20, 1))])
     df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, x double, y double")
     core, label = brute_dbscan(x, 0.15, 5)
-    got = {r["id"]: (r["kind"], r["cluster"]) for r in cluster.dbscan(df, "id", ["x", "y"], 0.15, 5).collect()}
+    got = {r["id"]: (r["kind"], r["cluster"]) for r in cluster.dbscan(df, "id", ["x", "y"], 0.15, 5, light).collect()}
     assert len(got) == len(x)
     for i in range(len(x)):
         assert (got[i][0] == "core") == core[i]
