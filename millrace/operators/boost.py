@@ -127,7 +127,7 @@ def pairwise_gradients(df: DataFrame, group: str, label: str, margin: str) -> Da
 def class_weight_scale(df: DataFrame, label: str) -> DataFrame:
     """Negatives over positives."""
     y = F.col(label)
-    return df.agg((F.count_if(y == 0) / F.count_if(y == 1)).alias("scale_pos_weight"))
+    return df.agg(F.try_divide(F.count_if(y == 0), F.count_if(y == 1)).alias("scale_pos_weight"))
 
 
 @dataclass

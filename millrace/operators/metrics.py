@@ -52,8 +52,8 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     counts = score_counts(df, label, score)
     total = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
     run = running_sums(counts, "score", ["pos", "neg"], descending=True)
-    return run.select("score", (F.col("cum_neg") / float(total["n"])).alias("fpr"),
-                      (F.col("cum_pos") / float(total["p"])).alias("tpr"))
+    return run.select("score", F.try_divide(F.col("cum_neg"), F.lit(float(total["n"]))).alias("fpr"),
+                      F.try_divide(F.col("cum_pos"), F.lit(float(total["p"]))).alias("tpr"))
 
 
 def auc_polygon(points: DataFrame, x: str = "fpr", y: str = "tpr", by: list[str] | None = None) -> DataFrame:
@@ -74,15 +74,16 @@ def auc_polygon(points: DataFrame, x: str = "fpr", y: str = "tpr", by: list[str]
 def auc_hard(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Area of the polygon of hard labels: ``(1 + tpr - fpr) / 2``."""
     c = binary_confusion(df, label, pred)
-    tpr, fpr = F.col("tp") / (F.col("tp") + F.col("fn")), F.col("fp") / (F.col("fp") + F.col("tn"))
+    tpr = F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
+    fpr = F.try_divide(F.col("fp"), F.col("fp") + F.col("tn"))
     return auc_polygon(c.select(fpr.alias("fpr"), tpr.alias("tpr")))
 
 
 def auc_rank(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Probability that a positive outranks a negative, ties half."""
+    """Probability that a positive outranks a negative, ties half; null if one class is missing."""
     run = running_sums(score_counts(df, label, score), "score", ["pos", "neg"])
     below = F.col("cum_neg") - F.col("neg") / 2
-    return run.agg((F.sum(F.col("pos") * below) / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    return run.agg(F.try_divide(F.sum(F.col("pos") * below), (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"))
 
 
 def log_loss_terms(kind: str, label: str, pred: str, rho: float = 1.5) -> Column:
@@ -129,7 +130,7 @@ def regression_scores(df: DataFrame, label: str, pred: str) -> DataFrame:
     sse = F.sum((y - p) * (y - p))
     return df.agg(F.sqrt(F.avg((y - p) * (y - p))).alias("rmse"), F.avg(F.abs(y - p)).alias("mae"),
                   F.avg((y - p) * (y - p)).alias("mse"),
-                  (1 - sse / (F.var_pop(y) * F.count(y))).alias("r2"))
+                  (1 - F.try_divide(sse, F.var_pop(y) * F.count(y))).alias("r2"))
 
 
 def _ranked(df: DataFrame, group: str, score: str, tie: str, n: int | None) -> DataFrame:

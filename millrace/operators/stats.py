@@ -106,22 +106,23 @@ def _with_fences(df: DataFrame, fences: DataFrame, by: list[str]) -> DataFrame:
 def kde_density(df: DataFrame, by: list[str], c: str, points: int = 32) -> DataFrame:
     """Gaussian kernel density per group at ``points`` places from min to max of all rows.
 
-    Bandwidth is Scott's rule ``std * n^(-1/5)`` of the group. Equal values are counted
+    Bandwidth is Scott's rule ``std * n^(-1/5)`` of the group; without spread the density is
+    null. Equal values are counted
     first, and each row meets the fixed list of places inside its own task.
     """
     counts = df.dropna(subset=[*by, c]).groupBy(*by, F.col(c).cast("double").alias("_v")).agg(
         F.count(F.lit(1)).alias("_w"))
     n, s, ss = F.sum("_w"), F.sum(F.col("_w") * F.col("_v")), F.sum(F.col("_w") * F.col("_v") * F.col("_v"))
-    bands = counts.groupBy(*by).agg(n.alias("_n"), F.sqrt((ss - s * s / n) / (n - 1)).alias("_std"))
+    bands = counts.groupBy(*by).agg(n.alias("_n"), F.sqrt(F.try_divide(ss - s * s / n, n - 1)).alias("_std"))
     bands = bands.withColumn("_h", F.col("_std") * F.pow(F.col("_n"), F.lit(-0.2)))
     low, high = df.agg(F.min(c), F.max(c)).first()
     grid = [float(low) + (float(high) - float(low)) * i / (points - 1) for i in range(points)]
     places = F.posexplode(F.array(*[F.lit(g) for g in grid])).alias("point", "x")
-    z = (F.col("x") - F.col("_v")) / F.col("_h")
+    z = F.try_divide(F.col("x") - F.col("_v"), F.col("_h"))
     joined = counts.join(bands, by) if by else counts.withColumns(
         {k: F.lit(v) for k, v in bands.first().asDict().items()})
     spread = joined.select(*by, "_v", "_w", "_h", "_n", places)
-    density = F.sum(F.col("_w") * F.exp(-0.5 * z * z) / (F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)))
+    density = F.sum(F.try_divide(F.col("_w") * F.exp(-0.5 * z * z), F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)))
     return spread.groupBy(*by, "point", "x").agg(density.alias("density"))
 
 
@@ -166,7 +167,7 @@ def anova_f(df: DataFrame, features: list[str], cls: str) -> DataFrame:
     parts = g.groupBy("feature").agg(
         F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("s2")).alias("within"),
         (F.sum(F.col("n") * F.col("m") * F.col("m")) - mean * F.sum(F.col("n") * F.col("m"))).alias("between"))
-    f = (F.col("between") / (F.col("k") - 1)) / (F.col("within") / (F.col("n") - F.col("k")))
+    f = F.try_divide(F.col("between") * (F.col("n") - F.col("k")), F.col("within") * (F.col("k") - 1))
     return parts.select("feature", f.alias("f"), (F.col("k") - 1).alias("df1"), (F.col("n") - F.col("k")).alias("df2"))
 
 

@@ -67,7 +67,13 @@ def _(spark, sf):
     return cluster.dbscan(v.points2d(spark, sf), "id", XY, DB_EPS, DB_MIN).select("id", "kind")
 
 
-@query("dbscan_clusters")
+@query("dbscan_clusters", f"""WITH RECURSIVE {v.POINTS}, d AS MATERIALIZED (SELECT p.id AS a, q.id AS b, sqrt((p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y))
+       AS d FROM points p, points q WHERE sqrt((p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y)) <= {DB_EPS}), c AS MATERIALIZED (SELECT a AS id FROM d GROUP BY 1
+       HAVING count(*) >= {DB_MIN}), e AS MATERIALIZED (SELECT a, b FROM d WHERE a IN (SELECT id FROM c) AND b IN (SELECT id FROM c)), reach AS (SELECT a, b FROM e UNION
+       SELECT r.a, e.b FROM reach r JOIN e ON e.a = r.b), k AS (SELECT b AS id, min(a) AS cluster FROM reach GROUP BY 1), n AS (SELECT a AS id, cluster,
+       row_number() OVER (PARTITION BY a ORDER BY d, cluster) AS rk FROM d JOIN k ON k.id = d.b WHERE a NOT IN (SELECT id FROM c))
+       SELECT p.id, CASE WHEN k.id IS NOT NULL THEN 'core' WHEN n.id IS NOT NULL THEN 'border' ELSE 'noise' END AS kind,
+       coalesce(k.cluster, n.cluster, -1)::bigint AS cluster FROM points p LEFT JOIN k ON k.id = p.id LEFT JOIN n ON n.id = p.id AND n.rk = 1""")
 def _(spark, sf):
     return cluster.dbscan(v.points2d(spark, sf), "id", XY, DB_EPS, DB_MIN)
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # A side is broadcast by hint only when it was counted and is at most this long.
 BROADCAST_ROWS = 100_000
 
+_local_dirs: dict[str, str] = {}
+
 
 def build_session(app: str = "millrace", master: str = "local[8]", **conf) -> SparkSession:
     """Session for tests and the benchmark; on a cluster the job brings its own."""
@@ -45,9 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="millrace-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="millrace-", dir="/tmp")
+    return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
