@@ -9,6 +9,7 @@ from millrace.functions.scalar import HASH_PRIME
 from millrace.operators import bayes, forest, linear, metrics, nearest, validate
 from millrace.plans import views as v
 from millrace.plans.registry import query
+from millrace.session import cut
 
 R6 = v.rnd
 HASH = "((vec_id * 7919 + {seed} * 104729) % " + str(HASH_PRIME) + ")"
@@ -55,13 +56,13 @@ def _score_table(spark, found: dict):
 
 @query("cross_val_scores")
 def _(spark, sf):
-    rows = v.vectors(spark, sf).persist()
+    rows = cut(v.vectors(spark, sf))
     return _score_table(spark, validate.cross_val_scores(rows, "id", 4, _nb_accuracy))
 
 
 @query("two_fold_swap")
 def _(spark, sf):
-    return _score_table(spark, validate.two_fold_swap(v.vectors(spark, sf).persist(), "id", _nb_accuracy))
+    return _score_table(spark, validate.two_fold_swap(cut(v.vectors(spark, sf)), "id", _nb_accuracy))
 
 
 @query("leave_one_out_knn", f"""WITH {v.VECTORS}, n AS (SELECT a.label AS label, b.label AS pred, row_number() OVER (PARTITION BY a.id ORDER BY
@@ -85,19 +86,19 @@ def _grid_rows(spark, found):
 
 @query("grid_search")
 def _(spark, sf):
-    rows = v.vectors(spark, sf).persist()
+    rows = cut(v.vectors(spark, sf))
     return _grid_rows(spark, validate.grid_search(rows, "id", {"trees": [4, 8], "depth": [2, 4]}, 2, _forest_score))
 
 
 @query("sweep_one_parameter")
 def _(spark, sf):
-    rows = v.vectors(spark, sf).persist()
+    rows = cut(v.vectors(spark, sf))
     return _grid_rows(spark, validate.sweep_one_parameter(rows, "id", "trees", [2, 6, 12], 2, _forest_score))
 
 
 @query("learning_curve")
 def _(spark, sf):
-    found = validate.learning_curve(v.vectors(spark, sf).persist(), "id", [0.25, 0.5, 1.0], _nb_accuracy)
+    found = validate.learning_curve(cut(v.vectors(spark, sf)), "id", [0.25, 0.5, 1.0], _nb_accuracy)
     return spark.createDataFrame([(r["share"], r["train"], r["test"]) for r in found], "share double, train double, test double")
 
 
@@ -113,7 +114,7 @@ def _(spark, sf):
         return model.transform(forest.with_features(test, v.DOC_FEATURES)).agg(
             F.avg((F.col("prediction") == F.col("quality")).cast("double"))).first()[0]
 
-    return _score_table(spark, validate.cv_with_preprocess(v.docs(spark, sf).persist(), "doc_id", 3, weigh, fit))
+    return _score_table(spark, validate.cv_with_preprocess(cut(v.docs(spark, sf)), "doc_id", 3, weigh, fit))
 
 
 # --- metrics -----------------------------------------------------------------------------------
