@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.jaccard import jaccard_join
+from millrace.llm.repeats import remove_repeats
+from millrace.llm.toxicity import severity
+from millrace.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,9 +26,22 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 @query("op10_jaccard_join")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join(table(spark, sf, "documents"))
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return severity(table(spark, sf, "documents"), table(spark, sf, "labels")).select(
+        "doc_id", "p_toxic", "p_severe", "expected_severity", "rejected")
+
+
+@query("op9_suffix_dedup")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return remove_repeats(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
