@@ -148,10 +148,11 @@ def equal_starts(bodies: list[bytes], length: int) -> list[np.ndarray]:
         lcp[i:j] = np.minimum(lcp[i:j], np.minimum(room[i:j], room[i - 1: j - 1]))
     place = np.zeros(len(data) + 1, np.int64)
     place[order] = np.arange(len(order))
-    # each start with its first whole word, or with its own end if it has none
+    # each start with the first word that begins inside its string, or with the string's end if none does
     starts = np.concatenate([np.arange(a, b - length + 1) for a, b in zip(off[:-1], off[1:])])
     owner = np.repeat(np.arange(len(bodies)), size - length + 1)
-    nxt = word[np.searchsorted(word, starts)]
+    begin = np.append(np.flatnonzero(flat.SPACE[data]) + 1, len(data) + length)
+    nxt = begin[np.searchsorted(begin, starts, "right")]
     before = np.minimum(nxt - starts, length)
     pre = flat.prefix_hash(data)
     left = flat.piece_hash(pre, starts, starts + before)

@@ -137,10 +137,10 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 30_000, min_rows:
     return fit(words, row, col, np.log1p(n), grade, ridge, rounds)
 
 
-def severity(docs: DataFrame, labels: DataFrame, bar: float = 0.5, **train_options) -> DataFrame:
+def severity(docs: DataFrame, labels: DataFrame, bar: float = 0.25, **train_options) -> DataFrame:
     """All columns of ``docs`` with ``p_toxic``, ``p_severe``, ``expected_severity`` (0 to 2) and ``rejected``.
 
-    ``rejected`` is ``P(grade >= 1) >= bar``.
+    ``rejected`` is ``P(grade >= 1) >= bar``; clean texts are far below it, so it leans towards rejecting short toxic ones.
     """
     model = train(docs, labels, **train_options)
     own = ["p_toxic", "p_severe", "expected_severity", "rejected"]
