@@ -7,11 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.decontaminate import benchmark_hits
+from millrace.llm.fingerprint import edited_fingerprints
 from millrace.llm.jaccard import jaccard_join
+from millrace.llm.licenses import scan
+from millrace.llm.packing import pack
 from millrace.llm.repeats import remove_repeats
 from millrace.llm.toxicity import severity
 from millrace.session import ship_package
 
+# the vocabulary file that packing uses
+TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -35,6 +42,35 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join(table(spark, sf, "documents"))
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_fingerprints")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf, "documents"))
+
+
+@query("op4_license_scan")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return scan(table(spark, sf, "documents").select("doc_id", "text")).drop("places")
+
+
+PIECES = ["doc_id", "start", "length", "crc32(ids) AS ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(table(spark, sf, "documents"), tokenizer_path()).selectExpr(*PIECES)
+
+
+@query("op8_decontamination")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return benchmark_hits(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query("op7_toxicity")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return severity(table(spark, sf, "documents"), table(spark, sf, "labels")).select(

@@ -293,3 +293,21 @@ def remove_repeats(docs: DataFrame, **options) -> DataFrame:
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return joined.mapInArrow(task, f"{kinds}, kept binary, n_bytes long, n_removed long, n_spans long")
+
+
+def without_repeats(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with the repeated bytes taken out of ``text`` and ``n_chars`` counted anew.
+
+    Where a removed range begins or ends inside a character, the rest of that character goes too. Null texts stay null.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            valid = batch.column("text").is_valid().to_pylist()
+            texts = [k.decode("utf-8", "ignore") if v else None for v, k in zip(valid, batch.column("kept").to_pylist())]
+            new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array([None if t is None else len(t) for t in texts], pa.int64())}
+            yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c) for c in names], names)
+
+    columns = docs.schema.fields
+    names = [f.name for f in columns]
+    kinds = ", ".join(f"`{f.name}` {'long' if f.name == 'n_chars' else f.dataType.simpleString()}" for f in columns)
+    return remove_repeats(docs, **options).select(*names, "kept").mapInArrow(task, kinds)
