@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from millrace.llm.decontaminate import benchmark_hits
 from millrace.llm.fingerprint import edited_fingerprints
+from millrace.llm.html import main_text
 from millrace.llm.jaccard import jaccard_join
 from millrace.llm.licenses import scan
+from millrace.llm.lm import lm_scores
 from millrace.llm.packing import pack
 from millrace.llm.repeats import remove_repeats
 from millrace.llm.toxicity import severity
+from millrace.llm.warc import round_trip
 from millrace.session import ship_package
 
 # the vocabulary file that packing uses
@@ -53,6 +56,16 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf, "documents"))
 
 
+@query("op2_html_extraction")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return main_text(table(spark, sf, "pages"))
+
+
+@query("op3_lm_scoring")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_scores(table(spark, sf, "documents"))
+
+
 @query("op4_license_scan")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return scan(table(spark, sf, "documents").select("doc_id", "text")).drop("places")
@@ -66,6 +79,11 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), tokenizer_path()).selectExpr(*PIECES)
 
 
+@query("op6_warc")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return round_trip(spark, table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op8_decontamination")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return benchmark_hits(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
