@@ -67,7 +67,7 @@ def sketch(docs: DataFrame, runs: range, threshold: float, width: int) -> DataFr
         task, "doc_id long, cls binary, size int, nodes array<long>")
 
 
-def set_table(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+def set_table(docs: DataFrame, wanted: DataFrame, width: int, repeated_ids: bool) -> DataFrame:
     """``(cls, grams)`` of the wanted classes, each from the text of one of its rows."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,8 +81,9 @@ def set_table(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     picked = texts.join(wanted.select(F.col("cls").alias("want"), "rep"), texts.doc_id.eqNullSafe(F.col("rep")))
     got = picked.select("text", "want").mapInArrow(task, "cls binary, want binary, grams array<long>")
-    # a doc_id that stands on several rows brings other texts too
-    return got.where("cls = want").select("cls", "grams").dropDuplicates(["cls"])
+    # a doc_id that stands on several rows brings other texts, and the same one again
+    got = got.where("cls = want").select("cls", "grams")
+    return got.dropDuplicates(["cls"]) if repeated_ids else got
 
 
 def split(rows: DataFrame, sets: DataFrame, depth: int, threshold: float) -> DataFrame:
@@ -100,22 +101,37 @@ def split(rows: DataFrame, sets: DataFrame, depth: int, threshold: float) -> Dat
     return rows.join(sets, "cls").select("node", "cls", "grams").mapInArrow(task, "node long, cls binary")
 
 
+def comparable(level: DataFrame, threshold: float, small: int) -> DataFrame:
+    """Rows of the small nodes whose set has another of a size in reach: sizes further apart than ``threshold`` cannot be
+    similar, and in order of size the nearest one is next to it."""
+    few = level.where(F.col("n") <= small).groupBy("node").agg(F.array_sort(F.collect_list(F.struct("size", "cls"))).alias("m"))
+
+    def near(x, i):
+        def size(k):
+            return F.get(F.col("m"), k)["size"]
+        return (F.coalesce(size(i - 1), F.lit(0)) >= x["size"] * threshold) | (x["size"] >= size(i + 1) * threshold)
+
+    kept = few.select("node", F.filter("m", near).alias("m")).where(F.size("m") > 1)
+    return kept.select("node", F.explode("m").alias("x")).select("node", "x.cls", "x.size", F.lit(2).cast("long").alias("n"))
+
+
 def buckets(first: DataFrame, classes: DataFrame, docs: DataFrame, threshold: float, width: int, small: int,
-            max_depth: int) -> tuple[DataFrame, DataFrame]:
-    """The leaves ``(node, cls, n)`` of the recursion, and the sets of all classes in them."""
+            max_depth: int, repeated_ids: bool) -> tuple[DataFrame, DataFrame]:
+    """The leaves ``(node, cls, size, n)`` of the recursion, and the sets of all classes in them."""
     def counted(rows: DataFrame) -> DataFrame:
         n = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        return cut(rows.join(n, "node"))
+        rows = rows.join(n, "node")
+        return cut(comparable(rows, threshold, small).unionByName(rows.where(F.col("n") > small).select("node", "cls", "size", "n")))
 
     level = counted(first)
     wanted = level.select("cls").distinct().join(classes, "cls")
-    sets = cut(set_table(docs, wanted, width))
+    sets = cut(set_table(docs, wanted, width, repeated_ids))
     leaves = [level.where(F.col("n") <= small)]
     for depth in range(1, max_depth):
-        large = level.where(F.col("n") > small).select("node", "cls")
+        large = level.where(F.col("n") > small).select("node", "cls", "size")
         if large.isEmpty():
             return _union(leaves), sets
-        level = counted(split(large, sets, depth, threshold))
+        level = counted(split(large, sets, depth, threshold).join(classes.select("cls", "size"), "cls"))
         leaves.append(level.where(F.col("n") <= small))
     leaves.append(level.where(F.col("n") > small))
     return _union(leaves), sets
@@ -128,7 +144,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def compare(leaves: DataFrame, sets: DataFrame, threshold: float, small: int) -> DataFrame:
+def compare(leaves: DataFrame, sets: DataFrame, threshold: float, small: int, tile: int) -> DataFrame:
     """One row for each class with a link in a leaf: ``(cls, low, links, copies, f1, f2)``.
 
     ``low`` is the smallest class of its linked group in the leaf; ``links`` counts the linked classes whose first
@@ -139,7 +155,7 @@ def compare(leaves: DataFrame, sets: DataFrame, threshold: float, small: int) ->
     few = leaves.where(F.col("n") <= small).groupBy("node").agg(F.array_sort(F.collect_list("cls")).alias("members"))
     few = few.groupBy("members").agg(F.min("node").alias("node")).select("node", F.explode("members").alias("cls"))
     few = few.select("node", "cls", F.lit(0).alias("tile"), F.lit(0).alias("a"), F.lit(0).alias("b"))
-    many = leaves.where(F.col("n") > small).withColumn("tiles", F.ceil(F.col("n") / small).cast("int"))
+    many = leaves.where(F.col("n") > small).withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
     many = many.withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     many = many.select("node", "cls", "tile", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"))
@@ -182,13 +198,19 @@ def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(), np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())
 
 
-def _incidence(values: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-    """0/1 matrix of rows against those values that stand in two rows at least."""
+def _common(values: np.ndarray, row: np.ndarray, n: int, columns: int = 4096) -> np.ndarray:
+    """How many values each two rows share; a row has each value once. Takes ``columns`` values at a time."""
+    out = np.zeros((n, n), np.float32)
     _, at, count = np.unique(values, return_inverse=True, return_counts=True)
-    column = np.cumsum(count > 1) - 1
     keep = count[at] > 1
-    out = np.zeros((n, int(column[-1]) + 1 if len(column) else 0), np.float32)
-    out[row[keep], column[at[keep]]] = 1
+    column, row = (np.cumsum(count > 1) - 1)[at[keep]], row[keep]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        a, b = np.searchsorted(column, [lo, lo + columns])
+        part = np.zeros((n, min(columns, int(column[-1]) + 1 - lo)), np.float32)
+        part[row[a:b], column[a:b] - lo] = 1
+        out += part @ part.T
     return out
 
 
@@ -198,8 +220,7 @@ def links(group: pa.Table, threshold: float) -> pa.RecordBatch | None:
     n = len(names)
     values, row = _lists(group.column("grams"))
     size = np.bincount(row, minlength=n)
-    dense = _incidence(values, row, n)
-    common = dense @ dense.T
+    common = _common(values, row, n)
     similar = common * (1 + threshold) >= threshold * (size[:, None] + size[None, :]) - 1e-6
     tile, a, b = (group.column(c).to_numpy() for c in ("tile", "a", "b"))
     similar &= tile[:, None] != tile[None, :] if a[0] != b[0] else ~np.eye(n, dtype=bool)
@@ -207,14 +228,12 @@ def links(group: pa.Table, threshold: float) -> pa.RecordBatch | None:
         return None
     node, homes = group.column("node")[0].as_py(), _lists(group.column("homes"))
     earlier = homes[0] < node
-    seen = _incidence(homes[0][earlier], homes[1][earlier], n)
-    new = similar & (seen @ seen.T == 0) if seen.size else similar
+    new = similar & (_common(homes[0][earlier], homes[1][earlier], n) == 0)
     # runs that have found the pair: those of its common nodes
     shared = np.zeros((n, n), np.float32)
     run = homes[0] & int(RUN_MASK)
     for r in np.unique(run):
-        x = _incidence(homes[0][run == r], homes[1][run == r], n)
-        shared += (x @ x.T > 0) if x.size else 0
+        shared += _common(homes[0][run == r], homes[1][run == r], n) > 0
     root = np.arange(n)
     while True:
         low = np.minimum(root, np.where(similar, root[None, :], n).min(1))
@@ -233,7 +252,7 @@ def links(group: pa.Table, threshold: float) -> pa.RecordBatch | None:
 
 
 def jaccard_join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.99, small: int = 128,
-                 max_depth: int = 4, step: int = 8) -> DataFrame:
+                 tile: int = 768, max_depth: int = 4, step: int = 8) -> DataFrame:
     """``(doc_id, class_id, set_id, n_links, n_texts)``, one row for each row of ``docs (doc_id, text)``.
 
     ``set_id`` is the smallest doc_id with the same shingles, ``class_id`` the smallest of all documents that chains of
@@ -249,11 +268,14 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall
             members = table.select("doc_id", "cls", "size")
             classes = cut(members.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                                      F.max("size").alias("size")))
-        firsts = table.groupBy("cls").agg(F.first("nodes").alias("nodes")).select(F.explode("nodes").alias("node"), "cls")
-        leaves, sets = buckets(firsts.distinct(), classes, docs, threshold, width, small, max_depth)
+            repeated_ids = members.count() > members.select("doc_id").distinct().count()
+        # copies have the same nodes, so one row of each class is enough
+        firsts = table.join(classes.select("cls", "rep"), "cls").where("doc_id <=> rep").select("cls", "size", F.explode("nodes").alias("node"))
+        firsts = firsts.distinct() if repeated_ids else firsts
+        leaves, sets = buckets(firsts, classes, docs, threshold, width, small, max_depth, repeated_ids)
         if seen is not None:
             leaves, sets = seen[0].unionByName(leaves), seen[1].unionByName(sets).dropDuplicates(["cls"])
-        found = cut(compare(leaves, sets.join(classes.select("cls", "copies"), "cls"), threshold, small))
+        found = cut(compare(leaves, sets.join(classes.select("cls", "copies"), "cls"), threshold, small, tile))
         got = found.agg(F.sum("links"), F.sum("f1"), F.sum("f2")).first()
         pairs, f1, f2 = ((x or 0) for x in got)
         missing = f1 * max(f1 - 1, 0) / (2 * (f2 + 1)) * (1 - 1 / len(runs))
@@ -274,3 +296,16 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall
         F.when(F.col("size") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("set_id"),
         F.when(F.col("size") > 0, F.coalesce("others", F.lit(0)) + F.col("copies") - 1).otherwise(0).cast("long").alias("n_links"),
         F.coalesce("n_texts", F.lit(0)).cast("long").alias("n_texts"))
+
+
+def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each class one row stays, that of the smallest doc_id.
+
+    Texts without words all stay. Where doc_id is null or stands on several rows, rows are numbered first.
+    """
+    rows, key = docs, "doc_id"
+    n, ids = docs.agg(F.count(F.lit(1)), F.countDistinct("doc_id")).first()
+    if n != ids:
+        rows, key = cut(docs.withColumn("row_id__", F.monotonically_increasing_id())), "row_id__"
+    found = jaccard_join(rows.select(F.col(key).alias("doc_id"), "text"), **options)
+    return rows.join(found.where("doc_id <> class_id").select(F.col("doc_id").alias(key)), key, "left_anti").select(*docs.columns)
