@@ -26,8 +26,18 @@ def weighted_sum(columns: Iterable[str], weights: Iterable[float], start: float
 
 
 def key_hash(key: str | Column, seed: int = 0) -> Column:
-    """Portable hash of a non-negative integer key, in ``[0, 1000003)``."""
-    return F.pmod(col(key).cast("bigint") * 7919 + F.lit(seed * 104729).cast("bigint"), F.lit(HASH_PRIME))
+    """Portable hash of any key in ``[0, 1000003)``: 52 bits of the MD5 of ``key:seed``; seeds are independent of each other."""
+    return seeded_hash(key, F.lit(str(seed)))
+
+
+def seeded_hash(key: str | Column, seed: Column) -> Column:
+    digest = F.md5(F.concat(col(key).cast("string"), F.lit(":"), seed.cast("string")).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint"), F.lit(HASH_PRIME))
+
+
+def hash_sql(key: str, seed: str | int = 0) -> str:
+    """``key_hash`` in DuckDB."""
+    return f"(('0x' || substr(md5(({key})::VARCHAR || ':' || ({seed})::VARCHAR), 1, 13))::BIGINT % {HASH_PRIME})"
 
 
 def uniform(*keys: str | Column) -> Column:

@@ -11,9 +11,10 @@ under ``gamma`` is taken back from the leaves upward.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -160,6 +161,7 @@ class BoostModel:
     trees: list[Tree]
     history: list[dict] = field(default_factory=list)
     best_round: int | None = None
+    first_trees: int = 0      # trees of the model that the fit went on from
 
     def per_round(self) -> int:
         return max(1, self.params.num_class) * self.params.num_parallel_tree
@@ -183,14 +185,26 @@ class BoostModel:
         return spark.createDataFrame(rows, NODE_SCHEMA)
 
     def save(self, spark, path: str) -> None:
-        self.node_table(spark).write.parquet(path)
+        """Trees, features and parameters; a custom objective has no stored form."""
+        if callable(self.params.objective):
+            raise ValueError("a model with a custom objective cannot be saved; save its node_table and set the objective again")
+        about = json.dumps({"features": self.features, "params": asdict(self.params), "best_round": self.best_round, "history": self.history})
+        self.node_table(spark).write.parquet(f"{path}/nodes")
+        spark.createDataFrame([(about,)], "about string").write.parquet(f"{path}/about")
 
     @staticmethod
-    def load(spark, path: str, features: list[str], params: Params) -> BoostModel:
-        return BoostModel(features, params, trees_from_table(spark.read.parquet(path)))
+    def load(spark, path: str) -> BoostModel:
+        about = json.loads(spark.read.parquet(f"{path}/about").first()["about"])
+        return BoostModel(about["features"], Params(**about["params"]), trees_from_table(spark.read.parquet(f"{path}/nodes")),
+                          about["history"], about["best_round"])
+
+    def best_trees(self) -> int:
+        """Trees up to the best round of the watched table, or all."""
+        return len(self.trees) if self.best_round is None else (self.best_round + 1) * self.per_round() + self.first_trees
+
 
     def margins(self, n_trees: int | None = None, base: Column | None = None) -> list[Column]:
-        """One margin column per class from the first ``n_trees`` trees."""
+        """One margin column per class from the first ``n_trees`` trees; null and NaN values go the missing way."""
         trees = self.trees if n_trees is None else self.trees[:n_trees]
         start = F.lit(self.base_margin()) if base is None else base
         classes = max(1, self.params.num_class)
@@ -199,8 +213,9 @@ class BoostModel:
             return [start + sums[c] for c in range(classes)]
 
         def test(n: Node) -> str:
-            below = f"CAST(`{self.features[n.feature]}` AS DOUBLE) < double('{float(n.threshold)!r}')"
-            return f"coalesce({below}, {str(n.missing_left).lower()})"
+            x = f"CAST(`{self.features[n.feature]}` AS DOUBLE)"
+            return (f"(CASE WHEN {x} IS NULL OR isnan({x}) THEN {str(n.missing_left).lower()} "
+                    f"ELSE {x} < double('{float(n.threshold)!r}') END)")
 
         out = []
         for c in range(classes):
@@ -334,13 +349,14 @@ class NewtonBoost:
 
     def fit(self, df: DataFrame, key: str, features: list[str], label: str, weight: str | None = None,
             base_margin: str | None = None, model: BoostModel | None = None, group: str | None = None,
-            watch: dict[str, DataFrame] | None = None, metric: Callable | None = None, early_stop: int | None = None,
+            watch: dict[str, DataFrame] | None = None, metric: Callable | dict[str, Callable] | None = None, early_stop: int | None = None,
             maximize: bool = False, save_every: int = 0, save_path: str | None = None) -> BoostModel:
-        """``watch`` tables get ``metric(df with label and pred)`` after every round; with
-        ``early_stop`` the last watched table ends the fit after that many rounds without gain."""
+        """``watch`` tables get ``metric(df with label, pred, w and grp)`` after every round, or each of several named
+        metrics (history keys are then ``table-metric``); with ``early_stop`` the last one of the last table ends the
+        fit after that many rounds without gain. ``BoostModel.best_trees`` counts the trees up to the best round."""
         p = self.p
         old = list(model.trees) if model else []
-        self.model = BoostModel(features, p, old)
+        self.model = BoostModel(features, p, old, first_trees=len(old))
         self.cuts = bin_cuts(df, features, p.max_bins)
         self.group = group
         self.table = self._prepare(df, key, label, weight, base_margin, features)
@@ -352,7 +368,8 @@ class NewtonBoost:
             self.model.trees.extend(new)
             self.pending.extend(new)
             if watched:
-                line = {name: self._metric(t, metric) for name, t in watched.items()}
+                named = metric if isinstance(metric, dict) else {"": metric}
+                line = {f"{name}-{m}" if m else name: self._metric(t, f) for name, t in watched.items() for m, f in named.items()}
                 self.model.history.append(line)
                 value = list(line.values())[-1]
                 if best is None or (value > best if maximize else value < best):
@@ -403,7 +420,7 @@ class NewtonBoost:
                 "pred", (F.array_position("_m", F.array_max("_m")) - 1).cast("double"))
         else:
             rows = table.withColumn("pred", transform_margin(self.p.objective, m[0]))
-        rows = rows.select(F.col("y").alias("label"), "pred", "w")
+        rows = rows.select(F.col("y").alias("label"), "pred", "w", *(["grp"] if self.group else []))
         return (metric or default_metric(self.p.objective))(rows)
 
     def _drops(self, step: int, rng: np.random.Generator) -> set[int]:

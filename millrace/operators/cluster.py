@@ -6,10 +6,10 @@ import math
 
 from pyspark.ml.clustering import GaussianMixture, KMeans, PowerIterationClustering
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalar import uniform
+from millrace.functions.scalar import key_hash, uniform
 from millrace.operators.graph import connected_components
 from millrace.operators.joins import euclid, grid_cell, nearest_center, neighbour_cells
 from millrace.operators.nearest import knn_join
@@ -82,7 +82,7 @@ def estimate_bandwidth(points: DataFrame, quantile: float = 0.2, sample: int = 5
 
     The sample size is the operator's own parameter.
     """
-    picked = cut(points.orderBy((F.col("id") * 7919) % 1000003, "id").limit(sample))
+    picked = cut(points.orderBy(key_hash("id"), "id").limit(sample))
     k = max(1, int(picked.count() * quantile))
     return knn_join(picked, picked, k).where(F.col("rank") == k).agg(F.avg("dist").alias("bandwidth"))
 
@@ -107,15 +107,16 @@ def mean_shift(df: DataFrame, key: str, coords: list[str], bandwidth: float, max
         moved = met.groupBy(*[F.col(f"s.{c}").alias(f"o_{c}") for c in coords]).agg(
             *[(F.sum(F.col("p.w") * F.col(f"p.{c}")) / total).alias(c) for c in coords], total.alias("mass"))
         gap = F.sqrt(sum(((F.col(c) - F.col(f"o_{c}")) * (F.col(c) - F.col(f"o_{c}")) for c in coords), F.lit(0.0)))
-        step = Observation()
-        moved = cut(moved.withColumn("_gap", gap).observe(step, F.max("_gap").alias("gap")))
+        moved = cut(moved.withColumn("_gap", gap))
         # seeds that have met go on as one: of those in one thousandth of the bandwidth the heaviest
         spot = [F.floor(F.col(c) / (1e-3 * bandwidth)) for c in coords]
         heaviest = F.max(F.struct("mass", *coords)).alias("m")
         done = moved.groupBy(*spot).agg(heaviest).select("m.*")
         seeds = done.select(*coords)
-        if (step.get["gap"] or 0.0) <= 1e-3 * bandwidth:
+        if (moved.agg(F.max("_gap")).first()[0] or 0.0) <= 1e-3 * bandwidth:
             break
+    else:
+        raise RuntimeError(f"modes still move after {max_iter} rounds")
     modes = _merge_modes(done, coords, bandwidth)
     if len(modes) <= 64:
         return df.select(key, nearest_center(modes, coords)["idx"].alias("cluster"))

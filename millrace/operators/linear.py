@@ -87,11 +87,13 @@ class Optimizer:
 def logreg_minibatch(df: DataFrame, key: str, features: list[str], label: str, loss: str = "cross_entropy",
                      opt: str = "adam", rate: float = 0.01, reg: str = "l2", reg_param: float = 0.0, batches: int = 8,
                      epochs: int = 1, seed: int = 0) -> tuple[list[float], list[dict]]:
-    """Mini-batch logistic model; ``loss='ftlr'`` is another name of the squared error.
+    """Mini-batch logistic model; ``loss='ftlr'`` is another name of ``'squared'``.
 
     Rows are written once by hash batch, so a step reads its own batch only. Returns the
     weights (bias last) and per step the loss, mean weight and share of weights near 0.
     """
+    if loss not in ("cross_entropy", "squared", "ftlr"):
+        raise ValueError(f"unknown loss {loss}")
     rows = cut(df.select(*[F.col(f).cast("double").alias(f) for f in features], F.col(label).cast("double").alias("_y"),
                          (key_hash(key, seed) % batches).cast("int").alias("_batch")), partition_by=["_batch"])
     present = sorted(r[0] for r in rows.select("_batch").distinct().collect())

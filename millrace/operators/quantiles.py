@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -13,7 +13,7 @@ from millrace.session import cut
 
 GROUP_VALUES = 1_000_000   # distinct values one aggregate buffer may hold
 BUCKET_ROWS = 100_000    # rows one window partition should hold
-MAX_BUCKETS = 4_000
+MAX_BUCKETS = 4_000      # cuts of one narrowing round; a bucket that is still too full is cut again
 
 
 def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float],
@@ -79,77 +79,60 @@ def _quantiles_by_rank(rows: DataFrame, by: list[str], probs: list[float], group
     return out.drop("_all")
 
 
+def positions(df: DataFrame, order: list, out: str = "_pos") -> DataFrame:
+    """1-based place of every row in the given order, which no window has to hold.
+
+    Rows are dealt by ranges and sorted in their partitions, of which there are as many as the session shuffles to; one count for
+    each partition reaches the driver. The table is written first, so the places stay as they are.
+    """
+    placed = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    sizes = sorted(tuple(r) for r in placed.groupBy(part.alias("_p")).count().collect())
+    starts = list(zip((p for p, _ in sizes), itertools.accumulate((n for _, n in sizes), initial=0)))
+    table = df.sparkSession.createDataFrame(starts, "_p int, _start long")
+    return placed.join(F.broadcast(table), part == F.col("_p")).withColumn(
+        out, F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_p", "_start", "_at")
+
+
 def running_sums(df: DataFrame, order: str, sums: list[str], descending: bool = False,
                  bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Inclusive running totals ``cum_x`` of ``sums`` over distinct values of ``order``.
 
-    Rows with one ``order`` value are added up first. The order range is cut at
-    approximate quantiles; totals per bucket give each bucket its start, so no task
-    sees more than a bucket. The bucket table has at most MAX_BUCKETS rows.
+    Rows with one ``order`` value are added up first. A long table is dealt by ranges; totals per partition, one row each,
+    give every partition its start, so no task sees more than its range.
     """
     base = df.groupBy(F.col(order).cast("double").alias(order)).agg(*[F.sum(s).alias(s) for s in sums])
-    rows = base.count()
-    buckets = min(MAX_BUCKETS, math.ceil(rows / bucket_rows))
     way = F.col(order).desc() if descending else F.col(order).asc()
-    if buckets <= 1:
-        upto = W.partitionBy("_b").orderBy(way).rowsBetween(W.unboundedPreceding, 0)
+    upto = W.partitionBy("_b").orderBy(way).rowsBetween(W.unboundedPreceding, 0)
+    if base.count() <= bucket_rows:
         return base.withColumn("_b", F.lit(0)).select(
             "*", *[F.sum(s).over(upto).alias(f"cum_{s}") for s in sums]).drop("_b")
-    points = base.approxQuantile(order, [i / buckets for i in range(1, buckets)], 1 / (4 * buckets))
-    splits = [-math.inf, *sorted(set(points)), math.inf]
-    placed = Bucketizer(splits=splits, inputCol=order, outputCol="_b").transform(base)
-    totals = placed.groupBy("_b").agg(*[F.sum(s).alias(f"t_{s}") for s in sums])
-    ahead = W.orderBy(F.col("_b").desc() if descending else F.col("_b").asc()).rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select("_b", *[F.coalesce(F.sum(f"t_{s}").over(ahead), F.lit(0)).alias(f"s_{s}") for s in sums])
-    upto = W.partitionBy("_b").orderBy(way).rowsBetween(W.unboundedPreceding, 0)
-    return placed.join(F.broadcast(starts), "_b").select(
+    placed = cut(base.repartitionByRange(way).withColumn("_b", F.spark_partition_id()))
+    totals = sorted((tuple(r) for r in placed.groupBy("_b").agg(*[F.sum(s).alias(f"t_{s}") for s in sums]).collect()))
+    starts, ahead = [], [0] * len(sums)
+    for b, *more in totals:
+        starts.append((b, *ahead))
+        ahead = [x + (y or 0) for x, y in zip(ahead, more)]
+    kinds = ", ".join(f"s_{s} {placed.schema[s].dataType.simpleString()}" for s in sums)
+    table = df.sparkSession.createDataFrame(starts, f"_b int, {kinds}")
+    return placed.join(F.broadcast(table), "_b").select(
         order, *sums, *[(F.col(f"s_{s}") + F.sum(s).over(upto)).alias(f"cum_{s}") for s in sums])
 
 
-def group_rank(df: DataFrame, by: list[str], order: str, tie: str, span: int, out: str = "rank",
-               bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """1-based rank per group by an ``order`` that is spread evenly over ``[0, span)``.
-
-    Used with hashed orders: equal slices of the span bound every window partition,
-    whatever share of the rows one group has.
-    """
-    rows = df.count()
-    slices = max(1, min(MAX_BUCKETS, math.ceil(rows / bucket_rows)))
-    placed = df.withColumn("_b", F.floor(F.col(order) * slices / F.lit(span)).cast("int"))
-    totals = placed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    ahead = W.partitionBy(*by).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select(*by, "_b", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_start"))
-    local = W.partitionBy(*by, "_b").orderBy(order, tie)
-    return placed.join(starts, [*by, "_b"]).withColumn(
-        out, (F.col("_start") + F.row_number().over(local)).cast("bigint")).drop("_b", "_start")
-
-
 def ordered_rank(df: DataFrame, by: list[str], order: str, tie: str, descending: bool = False, out: str = "rank",
                  bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """1-based rank per group by ``order``, then ``tie`` ascending (both numeric), in bounded windows.
+    """1-based rank per group by ``order``, then ``tie`` ascending.
 
-    Buckets are cut at approximate quantiles of all rows, so a large group falls into
-    many of them. A value that fills whole buckets by itself is cut again along ``tie``.
+    A long table is placed in the order of group, ``order`` and ``tie`` as a whole, so a group may be of any size; the rank is the
+    distance to the group's first place.
     """
-    rows = df.count()
-    buckets = min(MAX_BUCKETS, math.ceil(rows / bucket_rows))
     way = F.col(order).desc() if descending else F.col(order).asc()
-    if buckets <= 1:
+    if df.count() <= bucket_rows:
         w = W.partitionBy(*by).orderBy(way, F.col(tie).asc())
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    sign = -1 if descending else 1
-    placed = df.withColumns({"_o": F.col(order).cast("double") * sign, "_t": F.col(tie).cast("double")})
-    steps, error = [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)
-    cuts, ties = placed.approxQuantile(["_o", "_t"], steps, error)
-    heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-    for name, source, points in (("_b", "_o", cuts), ("_s", "_t", ties)):
-        splits = [-math.inf, *sorted(set(points)), math.inf]
-        placed = Bucketizer(splits=splits, inputCol=source, outputCol=name).transform(placed)
-    own = F.col("_o").isin(heavy) if heavy else F.lit(False)
-    placed = placed.withColumn("_k", F.struct("_b", (~own).alias("r"), F.when(own, F.col("_s")).otherwise(0.0).alias("s")))
-    totals = placed.groupBy(*by, "_k").agg(F.count(F.lit(1)).alias("_n"))
-    ahead = W.partitionBy(*by).orderBy("_k").rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select(*by, "_k", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_start"))
-    local = W.partitionBy(*by, "_k").orderBy("_o", "_t")
-    return placed.join(starts, [*by, "_k"]).withColumn(
-        out, (F.col("_start") + F.row_number().over(local)).cast("bigint")).select(*df.columns, out)
+    placed = positions(df, [*[F.col(c).asc() for c in by], way, F.col(tie).asc()])
+    if not by:
+        return placed.withColumn(out, F.col("_pos").cast("bigint")).select(*df.columns, out)
+    first = placed.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]).agg(F.min("_pos").alias("_first"))
+    same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)]
+    return placed.join(first, same).withColumn(out, (F.col("_pos") - F.col("_first") + 1).cast("bigint")).select(*df.columns, out)

@@ -11,6 +11,7 @@ from millrace.functions.scalar import l2_normalize
 from millrace.operators.nearest import knn_join
 from millrace.operators.reduce import Pca
 from millrace.operators.stats import vocabulary_topn
+from millrace.session import cut
 
 
 def words(text: str | Column) -> Column:
@@ -64,23 +65,22 @@ def nearest_words(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
 
 def word_vectors(df: DataFrame, text: str, dim: int = 128, window: int = 1, vocabulary: int = 50_000,
-                 max_iter: int = 1, partitions: int = 1, seed: int = 0):
+                 max_iter: int = 1, partition_tokens: int = 200_000, seed: int = 0):
     """Skip-gram vectors ``(word, vector)``; words outside the vocabulary become UNK.
 
-    The vocabulary bound also bounds the model every task receives.
+    The vocabulary bound also bounds the model every task receives. Training runs in one partition for every ``partition_tokens``
+    tokens; their models are averaged after each round.
     """
-    rows = df.select(words(text).alias("_w"))
-    vocab = vocabulary_topn(rows.select(F.explode("_w").alias("token")), vocabulary)
-    known = [r["word"] for r in vocab.where("idx > 0").collect()]
-    session = df.sparkSession
-    shared = session.sparkContext.broadcast(frozenset(known))
-
-    @F.pandas_udf("array<string>")
-    def keep(col):
-        return col.map(lambda ws: [w if w in shared.value else "UNK" for w in ws])
-
-    rows = rows.select(keep("_w").alias("words"))
-    model = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, maxIter=max_iter, numPartitions=partitions,
+    rows = df.select(words(text).alias("_w")).withColumn("_row", F.monotonically_increasing_id())
+    tokens = rows.select("_row", F.posexplode("_w").alias("_at", "token"))
+    vocab = cut(vocabulary_topn(tokens.select("token"), vocabulary))
+    # at most ``vocabulary`` rows
+    known = F.broadcast(vocab.where("idx > 0").select(F.col("word").alias("token"), F.col("word").alias("_known")))
+    kept = tokens.join(known, "token", "left").groupBy("_row").agg(F.array_sort(F.collect_list(
+        F.struct("_at", F.coalesce("_known", F.lit("UNK")).alias("w")))).alias("_w"))
+    rows = cut(kept.select(F.transform("_w", lambda x: x["w"]).alias("words")))
+    n = rows.agg(F.sum(F.size("words"))).first()[0] or 0
+    model = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, maxIter=max_iter, numPartitions=max(1, -(-n // partition_tokens)),
                      inputCol="words", outputCol="vec", seed=seed).fit(rows)
     return model.getVectors().select("word", vector_to_array("vector").alias("vector")), vocab
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import itertools
 import statistics
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalar import HASH_PRIME, key_hash
-from millrace.operators.quantiles import group_rank, ordered_rank
+from millrace.functions.scalar import HASH_PRIME, key_hash, seeded_hash
+from millrace.operators.quantiles import ordered_rank
 
 FitScore = Callable[[DataFrame, DataFrame], float]
 
@@ -54,8 +55,7 @@ def kfold_assign(df: DataFrame, key: str, folds: int, shuffle: bool = True, seed
 def stratified_kfold(df: DataFrame, key: str, label: str, folds: int, repeats: int = 1, seed: int = 0) -> DataFrame:
     """``repeat`` and ``fold`` columns; every fold has the class shares of the table."""
     many = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    order = F.pmod(F.col(key).cast("bigint") * 7919 + (F.col("repeat") + seed) * 104729, F.lit(HASH_PRIME))
-    ranked = group_rank(many.withColumn("_o", order), [label, "repeat"], "_o", key, HASH_PRIME, out="_r")
+    ranked = ordered_rank(many.withColumn("_o", seeded_hash(key, F.col("repeat") + seed)), [label, "repeat"], "_o", key, out="_r")
     return ranked.withColumn("fold", ((F.col("_r") - 1) % folds).cast("int")).drop("_o", "_r")
 
 
@@ -83,13 +83,15 @@ def cv_with_preprocess(df: DataFrame, key: str, folds: int, preprocess: Callable
 
 
 def grid_search(df: DataFrame, key: str, grid: dict[str, list], folds: int,
-                fit_score: Callable[[DataFrame, DataFrame, dict], float], maximize: bool = True) -> list[dict]:
-    """All combinations, best first, with mean and deviation over the folds."""
-    rows = []
-    for values in itertools.product(*grid.values()):
+                fit_score: Callable[[DataFrame, DataFrame, dict], float], maximize: bool = True, parallel: int = 4) -> list[dict]:
+    """All combinations, best first, with mean and deviation over the folds; ``parallel`` combinations run at a time."""
+    def one(values: tuple) -> dict:
         params = dict(zip(grid, values))
-        found = cross_val_scores(df, key, folds, lambda a, b, p=params: fit_score(a, b, p))
-        rows.append({"params": params, "mean": found["mean"], "std": found["std"]})
+        found = cross_val_scores(df, key, folds, lambda a, b: fit_score(a, b, params))
+        return {"params": params, "mean": found["mean"], "std": found["std"]}
+
+    with ThreadPoolExecutor(parallel) as pool:
+        rows = list(pool.map(one, itertools.product(*grid.values())))
     return sorted(rows, key=lambda r: -r["mean"] if maximize else r["mean"])
 
 
@@ -102,12 +104,12 @@ def sweep_one_parameter(df: DataFrame, key: str, name: str, values: list, folds:
 
 def learning_curve(df: DataFrame, key: str, shares: list[float], fit_score: FitScore, test_share: float = 0.25,
                    seed: int = 0) -> list[dict]:
-    """Train and test score against nested shares of the train part."""
+    """Train and test score against nested shares of the train part, whose hash is independent of the split's."""
     train, test = holdout_split(df, key, test_share, seed)
     out = []
     for share in shares:
         part = train.where(key_hash(key, seed + 1) < int(round(share * HASH_PRIME)))
-        out.append({"share": share, "train": float(fit_score(part, part)), "test": float(fit_score(part, test))})
+        out.append({"share": share, "rows": part.count(), "train": float(fit_score(part, part)), "test": float(fit_score(part, test))})
     return out
 
 

@@ -101,7 +101,7 @@ def _(spark, sf):
     model = boost.fit(d, "doc_id", v.DOC_FEATURES, "quality")
     path = scratch_path(spark, "model")
     model.save(spark, path)
-    again = BoostModel.load(spark, path, v.DOC_FEATURES, boost.p)
+    again = BoostModel.load(spark, path)
     both = again.predict(model.predict(d, out="a"), out="b")
     return both.agg(F.count(F.lit(1)).alias("compared"), F.count_if(F.col("a") != F.col("b")).alias("differing"))
 

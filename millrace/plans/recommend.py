@@ -25,8 +25,8 @@ def _(spark, sf):
     return summary(similarity.euclid_similarity(v.ratings(spark, sf)))
 
 
-@query("pearson_similarity", f"""WITH {v.RATINGS}, {_USER_PAIRS}, p AS (SELECT a, b, CASE WHEN round(saa - sa * sa / n, 6) <= 0 OR
-       round(sbb - sb * sb / n, 6) <= 0 THEN 0 ELSE (sab - sa * sb / n) / sqrt((saa - sa * sa / n) * (sbb - sb * sb / n)) END AS sim
+@query("pearson_similarity", f"""WITH {v.RATINGS}, {_USER_PAIRS}, p AS (SELECT a, b, CASE WHEN saa - sa * sa / n <= 1e-12 * saa OR
+       sbb - sb * sb / n <= 1e-12 * sbb THEN 0 ELSE (sab - sa * sb / n) / sqrt((saa - sa * sa / n) * (sbb - sb * sb / n)) END AS sim
        FROM pairs) {SUMMARY.format('p')}""")
 def _(spark, sf):
     return summary(similarity.pearson_similarity(v.ratings(spark, sf)))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from millrace.functions.scalar import HASH_PRIME
+from millrace.functions.scalar import HASH_PRIME, hash_sql
 from millrace.operators import bayes, forest, linear, metrics, nearest, validate
 from millrace.plans import views as v
 from millrace.plans.registry import query
 from millrace.session import cut
 
 R6 = v.rnd
-HASH = "((vec_id * 7919 + {seed} * 104729) % " + str(HASH_PRIME) + ")"
+HASH = hash_sql("vec_id", "{seed}")
 
 
 # --- splits and search -----------------------------------------------------------------------
@@ -30,7 +30,7 @@ def _(spark, sf):
     return train.withColumn("test", F.lit(False)).unionByName(test.withColumn("test", F.lit(True)))
 
 
-@query("kfold_assign", f"""SELECT o_orderkey, (ntile(10) OVER (ORDER BY (o_orderkey * 7919) % {HASH_PRIME}, o_orderkey) - 1)::int AS fold,
+@query("kfold_assign", f"""SELECT o_orderkey, (ntile(10) OVER (ORDER BY {hash_sql('o_orderkey')}, o_orderkey) - 1)::int AS fold,
        (ntile(10) OVER (ORDER BY o_orderkey) - 1)::int AS run FROM orders""")
 def _(spark, sf):
     o = v.table(spark, sf, "orders").select("o_orderkey")
@@ -39,7 +39,7 @@ def _(spark, sf):
 
 
 @query("stratified_kfold", f"""SELECT vec_id AS id, rep AS repeat, ((row_number() OVER (PARTITION BY label, rep ORDER BY
-       (vec_id * 7919 + rep * 104729) % {HASH_PRIME}, vec_id) - 1) % 5)::int AS fold FROM embeddings, (SELECT unnest([0, 1]) AS rep)""")
+       {hash_sql('vec_id', 'rep')}, vec_id) - 1) % 5)::int AS fold FROM embeddings, (SELECT unnest([0, 1]) AS rep)""")
 def _(spark, sf):
     return validate.stratified_kfold(v.vectors(spark, sf).select("id", "label"), "id", "label", 5, 2).select("id", "repeat", "fold")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions.scalar import hash_sql
 from millrace.operators import cluster, joins, reduce, text, voronoi
 from millrace.plans import views as v
 from millrace.plans.preparation import CENTERS, NEAREST
@@ -40,7 +41,7 @@ def _(spark, sf):
     return cluster.kmeans_objective(v.vectors(spark, sf), "x", 10, niter=20)
 
 
-_PICK = "ORDER BY (vec_id * 7919) % 1000003, vec_id LIMIT 200"
+_PICK = f"ORDER BY {hash_sql('vec_id')}, vec_id LIMIT 200"
 
 
 @query("estimate_bandwidth", f"""WITH s AS (SELECT vec_id AS id, embedding[1]::double AS x, embedding[2]::double AS y FROM embeddings {_PICK}),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.scalar import HASH_PRIME
+from millrace.functions.scalar import HASH_PRIME, hash_sql, key_hash
 from millrace.operators.text import words
 from millrace.session import cut, spread
 
@@ -37,7 +37,7 @@ def ratings(spark: SparkSession, sf: str, write: bool = True) -> DataFrame:
 
 
 def cell_hash() -> Column:
-    return F.pmod((F.col("u") * CELL + F.col("i")) * 7919, F.lit(HASH_PRIME))
+    return key_hash(F.col("u") * CELL + F.col("i"))
 
 
 def split_ratings(r: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -103,7 +103,7 @@ DOC_FEATURES = ["f0", "f1", "f2"]
 # SQL twins -------------------------------------------------------------------------------
 RATINGS = ("ratings AS (SELECT o_custkey AS u, l_partkey AS i, sum(l_quantity) AS r FROM orders "
            "JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)")
-CELL_HASH = f"(((u * {CELL} + i) * 7919) % {HASH_PRIME})"
+CELL_HASH = hash_sql(f"u * {CELL} + i")
 SPLIT = (f"{RATINGS}, train AS (SELECT * FROM ratings WHERE {CELL_HASH} >= {int(TEST_SHARE * HASH_PRIME)}), "
          f"test AS (SELECT * FROM ratings WHERE {CELL_HASH} < {int(TEST_SHARE * HASH_PRIME)})")
 WORDS = r"list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')"

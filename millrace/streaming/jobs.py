@@ -28,21 +28,30 @@ def _epoch(state: str, n: int) -> str:
     return f"{state}/epoch-{n:08d}"
 
 
+def _last_epoch(spark: SparkSession, state: str) -> int | None:
+    """The newest epoch in the state folder, also one that an earlier run has left."""
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{state}/epoch-*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return max((int(f.getPath().getParent().getName().removeprefix("epoch-")) for f in found or []), default=None)
+
+
 def stream_moments(stream: DataFrame, array_col: str, state: str | None = None) -> DataFrame:
-    """Moment table after all available batches."""
+    """Moment table after all available batches; with a ``state`` of an earlier run it goes on from there."""
     spark = stream.sparkSession
     state = state or scratch_path(spark, "moments")
-    last = {}
 
     def on_batch(batch: DataFrame, n: int) -> None:
         new = moments(batch, array_col)
         if n > 0:
             new = merge_moments(spark.read.parquet(_epoch(state, n - 1)), new)
         new.coalesce(1).write.mode("overwrite").parquet(_epoch(state, n))
-        last["n"] = n
 
     _run(stream, on_batch, state)
-    return spark.read.parquet(_epoch(state, last["n"]))
+    last = _last_epoch(spark, state)
+    if last is None:
+        raise ValueError("the stream has had no batch")
+    return spark.read.parquet(_epoch(state, last))
 
 
 def stream_incremental_pca(stream: DataFrame, array_col: str, k: int, state: str | None = None) -> Pca:
