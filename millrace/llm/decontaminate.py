@@ -55,8 +55,16 @@ def myers(pattern: str, text: str, limit: int) -> tuple[int, int]:
     return best, end
 
 
+# length of the blocks that a window is first searched for
+BLOCK_CHARS = 5
+
+
 class Finder:
-    """All items of a block in one automaton of pieces."""
+    """All items of a block in one automaton of pieces.
+
+    Before the distance is computed, the item is cut into blocks of ``BLOCK_CHARS`` characters: k edits spoil k of them at most, so a window
+    that lacks more than k blocks has no passage within k edits.
+    """
 
     def __init__(self, items: list[tuple[list[int], str]], rate: float):
         import ahocorasick
@@ -68,6 +76,7 @@ class Finder:
             cuts = [len(text) * j // (k + 1) for j in range(k + 2)]
             for a, b in zip(cuts, cuts[1:]):
                 pieces[text[a:b]].append((i, a))
+        self.blocks = [[t[j: j + BLOCK_CHARS] for j in range(0, len(t) - BLOCK_CHARS + 1, BLOCK_CHARS)] for _, t in items]
         self.automaton = ahocorasick.Automaton()
         for piece, at in pieces.items():
             self.automaton.add_word(piece, (len(piece), at))
@@ -91,7 +100,10 @@ class Finder:
                     found = (0, d, d + len(item)) if found is None else min(found, (0, d, d + len(item)))
             if found is None and k:
                 for lo, hi in self._windows(sorted(starts), k, len(item), len(text)):
-                    distance, end = myers(item, text[lo:hi], k)
+                    window = text[lo:hi]
+                    if sum(b not in window for b in self.blocks[i]) > k:
+                        continue
+                    distance, end = myers(item, window, k)
                     if distance <= k and (found is None or distance < found[0]):
                         back = text[max(0, lo + end - len(item) - k): lo + end][::-1]
                         _, length = myers(item[::-1], back, k)
