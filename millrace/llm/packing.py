@@ -1,6 +1,6 @@
 """Lexical retrieval packing: windows of related documents, found by BM25.
 
-Every text is tokenized once (distinct words of a batch, through a cache) and stored as token ids. Documents are ordered by a minimum
+Every text is tokenized once (distinct words of a block, through a cache) and stored as token ids. Documents are ordered by a minimum
 hash of their words, which brings alike ones together, and cut into shards of about ``shard_tokens`` tokens. A shard has its own BM25
 inverted index, with document frequencies of the whole table. Full windows of a long document stand alone; its
 rest, and every shorter document, is a seed or a neighbour: the longest unused one is the next seed, the index returns its unused
@@ -14,6 +14,7 @@ are not looked at. An empty table gives no pieces.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,18 +25,35 @@ from pyspark.sql import functions as F
 from millrace.llm import flat
 from millrace.session import cut
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_500_000
 _tokenizers: dict[str, "Words"] = {}
 
+LETTER = np.zeros(256, bool)
+LETTER[0x41:0x5B] = LETTER[0x61:0x7B] = True
+# ASCII punctuation, the apostrophe apart, which may begin a contraction
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[0x21:0x7F] = True
+PUNCTUATION[0x30:0x3A] = PUNCTUATION[0x41:0x5B] = PUNCTUATION[0x61:0x7B] = PUNCTUATION[0x27] = False
+# first bytes of combining marks, which join a letter before they are lower-cased
+MARKS = np.zeros(256, bool)
+MARKS[[0xCC, 0xCD]] = True
+
 
 class Words:
-    """Token ids of words, cached; words are runs without ASCII white space, which the tokenizer never joins."""
+    """Token ids of words, cached by hash in sorted arrays."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[int, np.ndarray] = {}
+        # the vocabulary is lower case and ends words at punctuation, so words may be taken apart and lower-cased before
+        probe = ["Ab,cD. eF", "ab", ",", "cd", ".", "ef"]
+        whole, *parts = (e.ids for e in self.tokenizer.encode_batch(probe, add_special_tokens=False))
+        self.folds = whole == sum(parts, [])
+        self._empty()
+
+    def _empty(self) -> None:
+        self.keys, self.first, self.size, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     @classmethod
     def of(cls, path: str) -> "Words":
@@ -43,33 +61,55 @@ class Words:
             _tokenizers[path] = cls(path)
         return _tokenizers[path]
 
-    def ids(self, hashes: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
-        """Ids of distinct words, given by hash and place."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known, keys = self.known, hashes.tolist()
-        new = [i for i, h in enumerate(keys) if h not in known]
-        if new:
-            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[new].tolist(), end[new].tolist())]
-            for i, e in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                known[keys[i]] = np.array(e.ids, np.uint32)
-        return [known[h] for h in keys]
+    def places(self, hashes: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``pool`` the ids of the distinct words begin, and how many they are; ``hashes`` ascend."""
+        at = np.searchsorted(self.keys, hashes)
+        missing = np.flatnonzero(np.append(self.keys, np.uint64(0))[at] != hashes) if len(self.keys) else np.arange(len(hashes))
+        if len(missing):
+            if len(self.keys) + len(missing) > CACHE_WORDS and len(self.keys):
+                self._empty()
+                return self.places(hashes, raw, start, end)
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[missing].tolist(), end[missing].tolist())]
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            new = np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum()))
+            first = len(self.pool) + np.cumsum(size) - size
+            where = at[missing]
+            self.keys, self.first, self.size = np.insert(self.keys, where, hashes[missing]), np.insert(self.first, where, first), np.insert(self.size, where, size)
+            self.pool = np.concatenate([self.pool, new])
+            at = np.searchsorted(self.keys, hashes)
+        return self.first[at], self.size[at]
+
+
+def pieces_of_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(start, end, per text: first piece)``: words, cut where ASCII punctuation follows a letter."""
+    n = len(data)
+    inside = np.zeros(n + 2, bool)
+    inside[1: n + 1] = ~flat.SPACE[data]
+    edge = np.zeros(n + 1, bool)
+    edge[off] = True
+    edge[1:n] |= LETTER[data[:-1]] & PUNCTUATION[data[1:]]
+    start = np.flatnonzero(inside[1:] & (~inside[:-1] | edge))
+    return start, np.flatnonzero(inside[:-1] & (~inside[1:] | edge)), np.searchsorted(start, off)
 
 
 def tokens(texts: pa.Array, words: Words, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """For blocks of texts: first row, ids end to end, n + 1 offsets (the end id included), and the least word hash of each text."""
     data, off = flat.buffers(texts)
     for i, j, part, o in flat.blocks(data, off):
-        start, end, first = flat.words(part, o)
+        raw = part.tobytes()
+        if words.folds and b"<|" not in raw and not MARKS[part].any():
+            part = flat.LOWER[part]
+            raw = part.tobytes()
+            start, end, first = pieces_of_words(part, o)
+        else:
+            start, end, first = flat.words(part, o)
         h = flat.piece_hash(flat.prefix_hash(part), start, end)
         distinct, at, back = np.unique(h, return_index=True, return_inverse=True)
-        lists = words.ids(distinct, part.tobytes(), start[at], end[at])
-        size = np.array([len(x) for x in lists], np.int64)
-        base = np.concatenate([[0], np.cumsum(size)])
-        pool = np.concatenate(lists) if lists else np.zeros(0, np.uint32)
+        base, size = words.places(distinct, raw, start[at], end[at])
         n = size[back]
         upto = np.concatenate([[0], np.cumsum(n)])
-        ids = pool[np.repeat(base[back] - upto[:-1], n) + np.arange(upto[-1])]
+        ids = words.pool[np.repeat(base[back] - upto[:-1], n) + np.arange(upto[-1])]
         ends = upto[first[1:]]
         ids = np.insert(ids, ends, np.uint32(end_id))
         offsets = np.concatenate([[0], ends + np.arange(1, j - i + 1)])
