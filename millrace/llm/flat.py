@@ -116,7 +116,7 @@ def shingles(texts: pa.Array, width: int = 5, lower: bool = True) -> Iterator[np
     for _, _, part, o in blocks(LOWER[data] if lower else data, off):
         w, first = word_hashes(part, o)
         h = np.zeros(len(w), np.uint64)
-        for k in range(width):
+        for k in range(min(width, len(w))):
             h[: len(w) - k] = mix(h[: len(w) - k] * MULT + w[k:])
         for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
             if b - a >= width:
