@@ -79,7 +79,11 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), tokenizer_path()).selectExpr(*PIECES)
 
 
-@query("op6_warc")
+@query("op6_warc", """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+     q AS (SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest, min(page_id) OVER (PARTITION BY h) AS first FROM p),
+     r AS (SELECT *, payload_bytes >= 100 AND page_id <> first AS again FROM q)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to FROM r""")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return round_trip(spark, table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
