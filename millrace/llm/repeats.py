@@ -29,6 +29,8 @@ from millrace.session import cut
 # sliding minima are taken over stretches of this many positions, which the low bits of a key can tell apart
 STRETCH = 1 << 22
 POSITION_BITS = np.uint64(23)
+# segments that leave a task at once
+BLOCK_ROWS = 5_000
 
 SEGMENT = "anchor long, doc_id long, text_hash long, first long, n int"
 
@@ -93,13 +95,18 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 def contents(docs: DataFrame, repeated: DataFrame, length: int, gram: int) -> DataFrame:
     """``(cid, anchor, off, n, body, doc_id, text_hash, first)``: the bytes of the segments in ``repeated``."""
+    def columns(out: dict[str, list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.array(out["cid"], pa.binary()), pa.array(out["anchor"], pa.int64()), pa.array(out["off"], pa.int32()), pa.array(out["n"], pa.int32()),
+            pa.array(out["body"], pa.binary()), pa.array(out["doc_id"], pa.int64()), pa.array(out["text_hash"], pa.int64()), pa.array(out["first"], pa.int64())], list(out))
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # segments overlap and are longer than their texts together, so they leave in blocks
+        out: dict[str, list] = {c: [] for c in ("cid", "anchor", "off", "n", "body", "doc_id", "text_hash", "first")}
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("cid", "anchor", "off", "n", "body", "doc_id", "text_hash", "first")}
-            wanted = batch.column("wanted").to_pylist()
-            for doc, text, want in zip(batch.column("doc_id").to_pylist(), _texts(batch), wanted):
+            for i, (doc, text) in enumerate(zip(batch.column("doc_id").to_pylist(), _texts(batch))):
                 own = text_hash(raw := text.tobytes())
-                mine = {s["first"] for s in want if s["text_hash"] == own}
+                mine = {s["first"] for s in batch.column("wanted")[i].as_py() if s["text_hash"] == own}
                 if not mine:
                     continue
                 for h, at, first, n in zip(*(x.tolist() for x in segments(text, length, gram))):
@@ -108,9 +115,10 @@ def contents(docs: DataFrame, repeated: DataFrame, length: int, gram: int) -> Da
                         cid = hashlib.blake2b(b"%d %d %d " % (h, at - first, n) + body, digest_size=16).digest()
                         for c, v in zip(out, (cid, h - (1 << 64) if h >> 63 else h, first - at, n, body, doc, own, first)):
                             out[c].append(v)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(out["cid"], pa.binary()), pa.array(out["anchor"], pa.int64()), pa.array(out["off"], pa.int32()), pa.array(out["n"], pa.int32()),
-                pa.array(out["body"], pa.binary()), pa.array(out["doc_id"], pa.int64()), pa.array(out["text_hash"], pa.int64()), pa.array(out["first"], pa.int64())], list(out))
+                        if len(out["cid"]) >= BLOCK_ROWS:
+                            yield columns(out)
+                            out = {c: [] for c in out}
+        yield columns(out)
 
     by_doc = repeated.groupBy(F.col("doc_id").alias("want_id")).agg(F.collect_set(F.struct("text_hash", "first")).alias("wanted"))
     return docs.join(by_doc, docs.doc_id.eqNullSafe(by_doc.want_id)).select("doc_id", "text", "wanted").mapInArrow(
@@ -131,6 +139,7 @@ def equal_starts(bodies: list[bytes], length: int) -> list[np.ndarray]:
     pieces = [data[a:b].tobytes() for a, b in zip(word[:-1].tolist(), word[1:].tolist())]
     rank = {w: i + 1 for i, w in enumerate(sorted(set(pieces)))}
     ids = np.fromiter((rank[w] for w in pieces), np.int64, len(pieces))
+    del pieces, rank
     # a zero, smaller than every word, ends each body
     text = np.insert(ids, np.flatnonzero(np.diff(body)) + 1, 0)
     at = np.insert(word[:-1], np.flatnonzero(np.diff(body)) + 1, -1)
@@ -146,11 +155,10 @@ def equal_starts(bodies: list[bytes], length: int) -> list[np.ndarray]:
         unlike = padded[order[i:j, None] + reach] != padded[order[i - 1: j - 1, None] + reach]
         lcp[i:j] = np.where(unlike.any(1), unlike.argmax(1), length)
         lcp[i:j] = np.minimum(lcp[i:j], np.minimum(room[i:j], room[i - 1: j - 1]))
-    place = np.zeros(len(data) + 1, np.int64)
+    place = np.zeros(len(data) + 1, np.int32)
     place[order] = np.arange(len(order))
     # each start with the first word that begins inside its string, or with the string's end if none does
     starts = np.concatenate([np.arange(a, b - length + 1) for a, b in zip(off[:-1], off[1:])])
-    owner = np.repeat(np.arange(len(bodies)), size - length + 1)
     begin = np.append(np.flatnonzero(flat.SPACE[data]) + 1, len(data) + length)
     nxt = begin[np.searchsorted(begin, starts, "right")]
     before = np.minimum(nxt - starts, length)
