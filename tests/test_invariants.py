@@ -9,8 +9,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators import boost, c45, cluster, factor, graph, joins, metrics, nearest, quantiles, reduce, similarity, stats, text, validate
+from millrace.functions.scalar import key_hash
+from millrace.operators import boost, c45, cluster, factor, graph, joins, linear, metrics, nearest, quantiles, reduce, similarity, stats, text, validate
 from millrace.operators.pairs import pair_moments
+from millrace.operators.quantiles import ordered_rank, running_sums
 from millrace.plans import views
 from millrace.streaming import jobs
 
@@ -124,7 +126,7 @@ def test_ranks_in_buckets(spark):
         order = sorted((r for r in rows if r[1] == g), key=lambda r: (-r[2], r[0]))
         assert [got[r[0]] for r in order] == list(range(1, len(order) + 1))
     hashed = df.withColumn("h", (F.col("id") * 37) % 1000)
-    rank = {r["id"]: r["rank"] for r in quantiles.group_rank(hashed, ["g"], "h", "id", 1000, bucket_rows=30).collect()}
+    rank = {r["id"]: r["rank"] for r in quantiles.ordered_rank(hashed, ["g"], "h", "id", False, bucket_rows=30).collect()}
     for g in "ab":
         order = sorted((r for r in rows if r[1] == g), key=lambda r: ((r[0] * 37) % 1000, r[0]))
         assert [rank[r[0]] for r in order] == list(range(1, len(order) + 1))
@@ -367,3 +369,81 @@ def test_skipgram_sample_is_subset(spark):
 def test_f_survival_known_points():
     assert stats.f_survival(4.0, 1, 1e9) == pytest.approx(0.0455, abs=1e-4)
     assert stats.f_survival(1.0, 10, 10) == pytest.approx(0.5)
+
+
+# --- behaviour that must not depend on size ------------------------------------------------------
+def test_repeated_cells_count_alike_on_both_pair_paths(spark):
+    rows = spark.createDataFrame([(1, 7, 1.0), (1, 7, 2.0), (2, 7, 4.0), (3, 7, 1.0), (3, 8, 2.0), (2, 8, 1.0)], "u long, i long, r double")
+    light = sorted(map(tuple, pair_moments(rows, "u", "i", "r").collect()))
+    heavy = sorted(map(tuple, pair_moments(rows, "u", "i", "r", heavy=0, tile=2, slab=1).collect()))
+    assert light == heavy
+    assert light[0][:4] == (1, 2, 1, 3.0)
+
+
+def test_ranks_and_running_sums_do_not_depend_on_size(spark):
+    rows = spark.createDataFrame([(i, i % 3 if i % 10 else None, float(i * 7 % 13), 1) for i in range(300)], "id long, g int, x double, w long")
+    for by in ([], ["g"]):
+        for down in (False, True):
+            a, b = (sorted(map(tuple, ordered_rank(rows, by, "x", "id", down, bucket_rows=n).select("id", "rank").collect())) for n in (10**6, 10))
+            assert a == b
+    for down in (False, True):
+        a, b = (sorted(map(tuple, running_sums(rows, "x", ["w"], down, bucket_rows=n).collect())) for n in (10**6, 3))
+        assert a == b
+
+
+def test_key_hash_seeds_are_independent_and_take_any_key(spark):
+    rows = spark.range(20_000).select(F.col("id"), F.lit(0).alias("label"))
+    folds = validate.stratified_kfold(rows, "id", "label", 5, 2).groupBy("id").pivot("repeat", [0, 1]).agg(F.max("fold"))
+    counts = [r["count"] for r in folds.groupBy("0", "1").count().collect()]
+    assert len(counts) == 25 and max(counts) < 1.2 * min(counts)
+    train, _ = validate.holdout_split(rows, "id", 0.25)
+    share = train.where(key_hash("id", 1) < 250_000).count() / train.count()
+    assert abs(share - 0.25) < 0.01
+    assert spark.createDataFrame([(2**63 - 1,), (-5,)], "id long").where(key_hash("id").between(0, 1_000_002)).count() == 2
+
+
+def dense_item_prediction(train, u, i):
+    items = sorted({x[1] for x in train})
+    users = sorted({x[0] for x in train})
+    m = np.zeros((len(users), len(items)))
+    for a, b, r in train:
+        m[users.index(a), items.index(b)] = r
+    x = m / np.linalg.norm(m, axis=0)
+    sim = (x.T @ x)[items.index(i)]
+    return m[users.index(u)] @ sim / np.abs(sim).sum()
+
+
+def test_signed_ratings_weigh_by_absolute_similarity(spark):
+    rng = np.random.default_rng(5)
+    rows = [(u, i, float(rng.integers(1, 6) * rng.choice([-1, 1]))) for u in range(6) for i in range(5) if rng.random() < 0.7]
+    train = spark.createDataFrame(rows, "u long, i long, r double")
+    cells = train.select("u", "i")
+    for r in similarity.predict_item_based(train, cells).collect():
+        assert r["pred"] == pytest.approx(dense_item_prediction(rows, r["u"], r["i"]), abs=1e-9)
+
+
+def test_pearson_of_small_ratings(spark):
+    rows = spark.createDataFrame([(u, i, (i + 1) * 1e-4) for u in (1, 2) for i in range(3)], "u long, i long, r double")
+    assert similarity.pearson_similarity(rows).first()["sim"] == pytest.approx(1.0)
+
+
+def test_stream_goes_on_without_new_files(spark, tmp_path):
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    spark.createDataFrame([([1.0, 2.0],), ([3.0, 5.0],)], "x array<double>").coalesce(1).write.parquet(source)
+
+    def run():
+        return sorted(map(str, jobs.stream_moments(jobs.file_stream(spark, source, "x array<double>"), "x", state).collect()))
+
+    assert run() == run()
+
+
+def test_ranking_scores_after_clustering_in_one_session(spark, sf):
+    import __spark_entry__ as entry
+    queries = entry.queries()
+    for name in ("dbscan_clusters", "mean_shift", "ctr_ranking", "cv_with_preprocess"):
+        assert queries[name](spark, sf).count() > 0
+
+
+def test_unknown_loss_is_refused(spark):
+    with pytest.raises(ValueError):
+        linear.logreg_minibatch(spark.range(3).selectExpr("id", "id AS a", "0 AS y"), "id", ["a"], "y", loss="hinge")
