@@ -91,7 +91,7 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def successors(rows: DataFrame) -> DataFrame:
-    """``(row, n_chars, next)``: the following row in order of doc_id (ties by text), cyclic. Only ids and lengths move."""
+    """``(row, doc_id, n_chars, next)``: the following row in order of doc_id (ties by text), cyclic. Only ids and lengths move."""
     light = rows.select("row", "doc_id", F.xxhash64("text").alias("tie"), F.length("text").cast("long").alias("n_chars"))
     order = ["doc_id", "tie", "row"]
     placed = cut(light.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()))
@@ -104,9 +104,9 @@ def successors(rows: DataFrame) -> DataFrame:
         total += n
     offsets = rows.sparkSession.createDataFrame(starts, "part long, start long")
     ranked = placed.join(F.broadcast(offsets), part == F.col("part")).select(
-        "row", "n_chars", (F.col("start") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).alias("rank"))
+        "row", "doc_id", "n_chars", (F.col("start") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).alias("rank"))
     after = ranked.select(F.col("row").alias("next"), F.pmod(F.col("rank") - 1, F.lit(max(total, 1))).alias("rank"))
-    return ranked.join(after, "rank").select("row", "n_chars", "next")
+    return ranked.join(after, "rank").select("row", "doc_id", "n_chars", "next")
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -116,14 +116,16 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """
     rows = numbered(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     follow = cut(successors(rows))
+    # the same two columns on both sides, so that the texts are shuffled once for both joins
+    rows = rows.select("row", "text")
     heads = rows.join(follow.select(F.col("row").alias("to"), F.col("next").alias("row"), F.floor(F.col("n_chars") / 4).cast("int").alias("take")), "row").select(
         F.col("to").alias("row"), F.col("text").substr(F.lit(1), F.col("take")).alias("head"))
     n = F.length("text")
     edited = F.concat(F.col("text").substr(F.lit(1), n - F.floor(n / 4).cast("int")), F.col("head"))
     prints = cut(rows.join(heads, "row").select(
-        "row", "doc_id", n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"),
+        "row", n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"),
         fingerprint(F.col("text")).alias("fingerprint"), fingerprint(edited).alias("edited_fingerprint")))
-    nexts = follow.select("row", "next").join(prints.select(F.col("row").alias("next"), F.col("fingerprint").alias("next_fingerprint")), "next")
+    nexts = follow.select("row", "doc_id", "next").join(prints.select(F.col("row").alias("next"), F.col("fingerprint").alias("next_fingerprint")), "next")
     return prints.join(nexts, "row").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
