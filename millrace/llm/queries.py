@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.decontaminate import benchmark_hits
+from millrace.llm.dialogue import damaged, repaired_conversations
 from millrace.llm.fingerprint import edited_fingerprints
 from millrace.llm.html import main_text
 from millrace.llm.jaccard import jaccard_join
 from millrace.llm.licenses import scan
 from millrace.llm.lm import lm_scores
 from millrace.llm.packing import pack
+from millrace.llm.periodic import made_periodic, periodic_runs, run_digests
 from millrace.llm.repeats import remove_repeats
 from millrace.llm.toxicity import severity
 from millrace.llm.warc import round_trip
@@ -103,3 +105,13 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return remove_repeats(table(spark, sf, "documents").select("doc_id", "text")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return run_digests(periodic_runs(made_periodic(table(spark, sf, "documents"))))
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return repaired_conversations(table(spark, sf, "conversations"), damaged)
