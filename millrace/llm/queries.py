@@ -12,6 +12,7 @@ from millrace.llm.dialogue import damaged, repaired_conversations
 from millrace.llm.fingerprint import edited_fingerprints
 from millrace.llm.html import main_text
 from millrace.llm.jaccard import jaccard_join
+from millrace.llm.language import held_out, identified, train
 from millrace.llm.licenses import scan
 from millrace.llm.lm import lm_scores
 from millrace.llm.packing import pack
@@ -107,6 +108,12 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op11_language")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return identified(docs, train(docs.where(~held_out()))).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query("op12_periodic_runs")
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return run_digests(periodic_runs(made_periodic(table(spark, sf, "documents"))))
