@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.operators.quantiles import ordered_rank, running_sums
+from millrace.operators.quantiles import ordered_rank, previous_rows, running_sums
 from millrace.operators.windows import topn_per_group
 
 
@@ -57,16 +57,16 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def auc_polygon(points: DataFrame, x: str = "fpr", y: str = "tpr", by: list[str] | None = None) -> DataFrame:
-    """Trapezoid area under given corner points, closed by (0,0) and (1,1).
+    """Trapezoid area under the given corner points, closed by (0,0) and (1,1); points of any number, in any order.
 
-    Meant for a drawn curve of bounded size, such as hard labels or score bins;
-    for every distinct score of a large table use :func:`auc_rank`.
+    Equal points make one corner. Points are put in order by ranges, and each partition knows the point before it, so no task
+    holds them all.
     """
     by = by or []
-    w = W.partitionBy(*by).orderBy(x, y)
-    px, py = F.lag(x, 1, 0.0).over(w), F.lag(y, 1, 0.0).over(w)
-    steps = points.select(*by, F.col(x).alias("x"), F.col(y).alias("y"), px.alias("px"), py.alias("py"))
-    area = F.sum((F.col("x") - F.col("px")) * (F.col("y") + F.col("py")) / 2)
+    corners = points.select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).distinct()
+    steps = previous_rows(corners, by, ["x", "y"], ["x", "y"])
+    px, py = F.coalesce("prev_x", F.lit(0.0)), F.coalesce("prev_y", F.lit(0.0))
+    area = F.sum((F.col("x") - px) * (F.col("y") + py) / 2)
     last = (1 - F.max("x")) * (1 + F.max("y")) / 2
     return steps.groupBy(*by).agg((area + last).alias("auc"))
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from millrace.operators.tree import NeighbourTree
 from millrace.operators.windows import topn_per_group
 from millrace.session import cut, spread
 
@@ -133,11 +134,12 @@ def _k_smallest(qid: np.ndarray, pid: np.ndarray, a: np.ndarray, b: np.ndarray,
 
 
 def knn_join(queries: DataFrame, points: DataFrame, k: int, exclude_self: bool = False, pivots: int | None = None,
-             block: int = BLOCK) -> DataFrame:
+             block: int = BLOCK, tree_rows: int = MAX_PIVOTS * CELL_ROWS) -> DataFrame:
     """``(qid, cid, dist, rank)``: the k nearest points of each query, ties to the lower id.
 
     Both inputs are ``(id, x)`` with x an array of doubles. ``exclude_self`` leaves out the
-    point with the query's own id.
+    point with the query's own id. More than ``tree_rows`` points, which one level of pivots would leave in large cells,
+    are searched by a tree of pivots.
     """
     depth = k + 1 if exclude_self else k
     same = queries is points
@@ -146,18 +148,11 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, exclude_self: bool =
     # of many copies only the first ``depth`` ids can be an answer
     copies = W.partitionBy("x").orderBy("id")
     thin = points.withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= depth).drop("_c")
-    cells = Cells(thin, depth, pivots)
     heads = queries.groupBy("x").agg(F.min("id").alias("id"))
-    left, right = cells.blocks(heads, None, block)
-
-    def compare(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(p):
-            return pd.DataFrame({"qid": [], "cid": [], "d2": []}).astype({"qid": "int64", "cid": "int64"})
-        return _k_smallest(q["id"].to_numpy(), p["id"].to_numpy(), stack(q["x"]), stack(p["x"]), depth)
-
-    keys = ["cell", "sub", "chunk"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "qid long, cid long, d2 double")
-    best = topn_per_group(found, ["qid"], ["d2", "cid"], depth)
+    if thin.count() > tree_rows:
+        best = NeighbourTree(thin).search(heads, depth)
+    else:
+        best = _by_cells(heads, Cells(thin, depth, pivots), depth, block)
     # hand the answer of the first copy to all copies
     mine = queries.select("x", F.col("id").alias("me")).join(heads.withColumnRenamed("id", "qid"), "x").select("me", "qid")
     out = mine.join(best, "qid").select(F.col("me").alias("qid"), "cid", F.sqrt("d2").alias("dist"), "rank")
@@ -170,6 +165,20 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, exclude_self: bool =
     return moved.withColumn("rank", rank).where(F.col("rank") <= k).drop("_own")
 
 
+def _by_cells(heads: DataFrame, cells: Cells, depth: int, block: int) -> DataFrame:
+    """``(qid, cid, d2, rank)`` by blocks of queries against blocks of the cells that they visit."""
+    left, right = cells.blocks(heads, None, block)
+
+    def compare(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(p):
+            return pd.DataFrame({"qid": [], "cid": [], "d2": []}).astype({"qid": "int64", "cid": "int64"})
+        return _k_smallest(q["id"].to_numpy(), p["id"].to_numpy(), stack(q["x"]), stack(p["x"]), depth)
+
+    keys = ["cell", "sub", "chunk"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "qid long, cid long, d2 double")
+    return topn_per_group(found, ["qid"], ["d2", "cid"], depth)
+
+
 def pairs_within(points: DataFrame, eps: float, pivots: int | None = None, block: int = BLOCK) -> DataFrame:
     """``(a, b, dist)`` with ``a < b`` and a distance of at most ``eps``."""
     points = cut(points.select("id", "x"))

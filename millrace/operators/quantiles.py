@@ -136,3 +136,25 @@ def ordered_rank(df: DataFrame, by: list[str], order: str, tie: str, descending:
     first = placed.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]).agg(F.min("_pos").alias("_first"))
     same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)]
     return placed.join(first, same).withColumn(out, (F.col("_pos") - F.col("_first") + 1).cast("bigint")).select(*df.columns, out)
+
+
+def previous_rows(df: DataFrame, by: list[str], order: list[str], values: list[str]) -> DataFrame:
+    """Adds ``prev_x`` for ``values``: those of the row before in ascending ``order`` within a group, null for its first row.
+
+    Rows are dealt by ranges of group and order, whatever the size of a group, and every partition gets one border row, the last of
+    the partition before it. Only the border rows reach the driver.
+    """
+    keys = [*by, *order]
+    placed = cut(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()).withColumn(
+        "_p", F.shiftright("_at", 33)))
+    kept = list(dict.fromkeys([*by, *values]))
+    ends = sorted(tuple(r) for r in placed.groupBy("_p").agg(F.max_by(F.struct(*kept), "_at").alias("end")).collect())
+    kinds = ", ".join(f"`{c}` {placed.schema[c].dataType.simpleString()}" for c in kept)
+    borders = df.sparkSession.createDataFrame([(p, before) for (p, _), (_, before) in zip(ends[1:], ends)], f"_p long, border struct<{kinds.replace('` ', '`: ')}>")
+    w = W.partitionBy("_p").orderBy("_at")
+    before = F.coalesce(F.lag(F.struct(*kept)).over(w), F.when(F.row_number().over(w) == 1, F.col("border")))
+    out = placed.join(F.broadcast(borders), "_p", "left").withColumn("_before", before)
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"_before.{c}").eqNullSafe(F.col(c))
+    return out.select(*df.columns, *[F.when(same, F.col(f"_before.{v}")).alias(f"prev_{v}") for v in values])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import scalar as S
-from millrace.operators import ctr, factor, metrics, similarity
+from millrace.operators import als, ctr, factor, metrics, similarity, simjoin
 from millrace.plans import views as v
 from millrace.plans.preparation import _EUCLID, _TOPN, _USER_PAIRS
 from millrace.plans.registry import query
@@ -43,6 +43,23 @@ def _(spark, sf):
     return summary(similarity.cosine_similarity(v.ratings(spark, sf), "item"))
 
 
+_UNIT_PAIRS = f"""{v.RATINGS}, {_unit('ratings', 'u')}, p AS (SELECT x.u AS a, y.u AS b, sum(x.x * y.x) AS sim
+       FROM unit_u x JOIN unit_u y ON x.i = y.i AND x.u <> y.u GROUP BY 1, 2)"""
+
+
+@query("cosine_partners_above", f"""WITH {_UNIT_PAIRS} SELECT a AS id, count(*) AS partners, round(sum(sim), 5) + 0.0 AS total,
+       round(max(sim), 6) + 0.0 AS best FROM p WHERE sim >= 0.15 GROUP BY 1""")
+def _(spark, sf):
+    out = simjoin.cosine_partners_above(v.ratings(spark, sf), 0.15)
+    return out.select("id", "partners", R6("total", 5).alias("total"), R6("best").alias("best"))
+
+
+@query("topn_cosine", f"""WITH {_UNIT_PAIRS} SELECT a, b, round(sim, 6) + 0.0 AS sim, rank::int AS rank FROM (SELECT *, row_number() OVER
+       (PARTITION BY a ORDER BY round(sim, 9) DESC, b) AS rank FROM p) WHERE rank <= 10""")
+def _(spark, sf):
+    return simjoin.topn_cosine(v.ratings(spark, sf), 10).select("a", "b", R6("sim").alias("sim"), "rank")
+
+
 _PREDICT_USER = f"""{v.SPLIT}, {_unit('train', 'u')}, sims AS (SELECT x.u AS a, y.u AS b, sum(x.x * y.x) AS sim FROM unit_u x
        JOIN unit_u y ON x.i = y.i GROUP BY 1, 2), w AS (SELECT a AS u, sum(abs(sim)) AS w FROM sims GROUP BY 1),
        means AS (SELECT u, avg(r) AS mean FROM train GROUP BY 1), num AS (SELECT t.u, t.i, sum(s.sim * (r.r - m.mean)) AS num
@@ -127,6 +144,27 @@ def _(spark, sf):
         factor.als_mse(model, test).withColumn("part", F.lit("test")))
 
 
+def _init(key: str, j: int) -> str:
+    return f"({v.hash_sql(key, j)} + 0.5::double) / 1000003.0::double - 0.5::double"
+
+
+def _als_half(new: str, mine: str, other: str, factors: str, reg: float) -> str:
+    """One half round at rank 2 in SQL: sums of the normal equations, solved by Cramer's rule."""
+    return f"""e_{new} AS (SELECT {mine}, sum(x0 * x0) + {reg}::double * count(*) AS a, sum(x0 * x1) AS b, sum(x1 * x1) + {reg}::double * count(*) AS c,
+       sum(x0 * r) AS p, sum(x1 * r) AS q FROM ratings JOIN {factors} USING ({other}) GROUP BY 1), {new} AS (SELECT {mine}, (c * p - b * q) / (a * c - b * b)
+       AS x0, (a * q - b * p) / (a * c - b * b) AS x1 FROM e_{new})"""
+
+
+@query("als_rounds", f"""WITH {v.RATINGS}, i0 AS (SELECT i, {_init('i', 0)} AS x0, {_init('i', 1)} AS x1 FROM (SELECT DISTINCT i FROM ratings)),
+       {_als_half('u1', 'u', 'i', 'i0', 0.1)}, {_als_half('i1', 'i', 'u', 'u1', 0.1)}, {_als_half('u2', 'u', 'i', 'i1', 0.1)},
+       {_als_half('i2', 'i', 'u', 'u2', 0.1)}, fits AS (SELECT 0 AS round, r, u1.x0 * i1.x0 + u1.x1 * i1.x1 AS p FROM ratings JOIN u1 USING (u) JOIN i1 USING (i)
+       UNION ALL SELECT 1, r, u2.x0 * i2.x0 + u2.x1 * i2.x1 FROM ratings JOIN u2 USING (u) JOIN i2 USING (i))
+       SELECT round, round(sqrt(avg((r - p) * (r - p))), 4) AS rmse FROM fits GROUP BY 1""")
+def _(spark, sf):
+    model = als.BlockALS(rank=2, reg=0.1, max_iter=2, tol=0.0).fit(v.ratings(spark, sf))
+    return model.rounds(spark).select("round", R6("rmse", 4).alias("rmse"))
+
+
 @query("als_implicit")
 def _(spark, sf):
     model = factor.als_implicit(v.ratings(spark, sf), rank=8, alpha=0.5, iters=5)
