@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +23,14 @@ class GaussianNB:
     def fit(self, df: DataFrame, array_col: str, label: str) -> GaussianNB:
         long = df.select(F.col(label).alias("c"), F.posexplode(F.col(array_col).cast("array<double>")).alias("d", "v"))
         per = long.groupBy("c", "d").agg(F.count("v").alias("n"), F.avg("v").alias("m"), F.var_pop("v").alias("s"))
-        widest = long.groupBy("d").agg(F.var_pop("v").alias("s")).agg(F.max("s")).first()[0]
-        rows = per.orderBy("c", "d").collect()
+        rows = sorted(per.collect())
+        # the variance of a dimension over all classes: within them and between their means
+        widest = 0.0
+        for _, own in groupby(sorted(rows, key=lambda r: r["d"]), key=lambda r: r["d"]):
+            own = list(own)
+            n = sum(r["n"] for r in own)
+            mean = sum(r["n"] * r["m"] for r in own) / n
+            widest = max(widest, sum(r["n"] * (r["s"] + (r["m"] - mean) ** 2) for r in own) / n)
         self.extra = SMOOTHING * widest
         self.classes = sorted({r["c"] for r in rows})
         self.count = {r["c"]: r["n"] for r in rows}

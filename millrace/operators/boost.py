@@ -1,9 +1,10 @@
 """Second-order boosted trees on binned rows.
 
 A round adds one tree, or one per class or parallel slot. Rows are read once per tree
-level: the node of a row is an expression over its bins, gradient sums are grouped by
-(slot, node, feature, bin) with a map-side combine, and the best split of a node is found
-in Spark. Only best splits, a bounded number per level, reach the driver.
+level: the node of a row is an expression over its bins, a task adds up one histogram of
+its partition over (slot, node, feature, bin), these are merged by key, and the best split of
+a node is found in Spark. Only best splits, a bounded number per level, reach the driver. Which
+features a tree, level or node may use follows from hashes in the plan.
 
 Gain is ``GL²/(HL+λ) + GR²/(HR+λ) - G²/(H+λ)`` without the factor one half, and a split
 under ``gamma`` is taken back from the leaves upward.
@@ -13,22 +14,25 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from millrace.functions.scalar import sigmoid, uniform
+from millrace.functions.scalar import double_array, sigmoid, uniform
 from millrace.session import cut
 
 Gradient = Callable[[Column, Column], tuple[Column, Column]]
 MISSING = -1
 INLINE_DEPTH = 6          # deeper levels keep the row's node in a table
 CASE_NODES = 1_500        # larger models are applied by a vectorised walk
+PAIR_TILE = 1_024         # combinations of a ranking group that are paired at once
 NODE_SCHEMA = ("tree int, node int, cls int, feature int, threshold double, yes int, no int, missing int, "
                "leaf double, gain double, cover double")
 
@@ -108,23 +112,55 @@ def softmax_gradients(margins: list[Column], label: Column) -> list[tuple[Column
     return out
 
 
-def pairwise_gradients(df: DataFrame, group: str, label: str, margin: str) -> DataFrame:
+def pairwise_gradients(df: DataFrame, group: str, label: str, margin: str, tile: int = PAIR_TILE) -> DataFrame:
     """Adds ``g, h`` of the pairwise logistic loss over pairs of different label in a group.
 
     Rows with equal (group, label, margin) have equal derivatives, so pairs are formed
-    between these combinations with their counts, not between rows.
+    between these combinations with their counts, not between rows. A group of at most ``tile`` combinations is an equi join;
+    a larger one is cut into tiles, and each pair of tiles is one task's matrix, whose sums over either side are added up by combination.
     """
     combos = cut(df.groupBy(group, label, margin).agg(F.count(F.lit(1)).alias("_n")))
-    a, b = combos.alias("a"), combos.alias("b")
+    sizes = combos.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
+    large = cut(sizes.where(F.col("_size") > tile).withColumn("_tiles", F.ceil(F.col("_size") / tile).cast("int")))
+    a, b = combos.join(large, group, "left_anti").alias("a"), combos.alias("b")
     p = sigmoid(F.when(F.col(f"a.{label}") > F.col(f"b.{label}"), F.col(f"b.{margin}") - F.col(f"a.{margin}"))
                 .otherwise(F.col(f"a.{margin}") - F.col(f"b.{margin}")))
     sign = F.when(F.col(f"a.{label}") > F.col(f"b.{label}"), -1.0).otherwise(1.0)
     met = a.join(b, (F.col(f"a.{group}") == F.col(f"b.{group}")) & (F.col(f"a.{label}") != F.col(f"b.{label}")))
     sums = met.groupBy(*[F.col(f"a.{c}").alias(c) for c in (group, label, margin)]).agg(
         F.sum(F.col("b._n") * sign * p).alias("g"), F.sum(F.col("b._n") * 2 * p * (1 - p)).alias("h"))
+    if not large.isEmpty():
+        sums = sums.unionByName(_tiled_gradients(combos.join(large.select(group, "_tiles"), group), group, label, margin))
     return df.join(sums, [group, label, margin], "left").na.fill(0.0, ["g", "h"])
 
 
+def _tiled_gradients(combos: DataFrame, group: str, label: str, margin: str) -> DataFrame:
+    """``(group, label, margin, g, h)`` of groups that are cut into ``_tiles`` tiles by a hash of the combination."""
+    own = combos.withColumn("_own", F.pmod(F.xxhash64(label, margin), F.col("_tiles")).cast("int"))
+    dealt = own.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1))).select(
+        group, label, margin, "_n", "_own", F.least("_own", "_other").alias("_p"), F.greatest("_own", "_other").alias("_q"))
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = (pdf["_own"] == pdf["_p"]).to_numpy()
+        across = bool((pdf["_p"] != pdf["_q"]).iloc[0])
+        left = pdf[first]
+        right = pdf[~first] if across else left
+        y, m, n = (x.to_numpy(dtype="float64") for x in (left[label], left[margin], left["_n"]))
+        y2, m2, n2 = (x.to_numpy(dtype="float64") for x in (right[label], right[margin], right["_n"]))
+        # 1 where the left one should rank higher
+        sign = np.sign(y[:, None] - y2[None, :])
+        p = np.where(sign != 0, 1 / (1 + np.exp(np.clip(sign * (m[:, None] - m2[None, :]), -700, 700))), 0.0)
+        curve = 2 * p * (1 - p)
+        out = [left.assign(g=-(sign * p) @ n2, h=curve @ n2)]
+        if across:
+            out.append(right.assign(g=n @ (sign * p), h=n @ curve))
+        return pd.concat(out)[[group, label, margin, "g", "h"]]
+
+    kinds = ", ".join(f"`{c}` {combos.schema[c].dataType.simpleString()}" for c in (group, label, margin))
+    found = dealt.groupBy(group, "_p", "_q").applyInPandas(pairs, f"{kinds}, g double, h double")
+    return found.groupBy(group, label, margin).agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+
+
 def class_weight_scale(df: DataFrame, label: str) -> DataFrame:
     """Negatives over positives."""
     y = F.col(label)
@@ -274,6 +310,11 @@ def _case(tree: Tree, test: Callable[[Node], str]) -> Column:
     return F.expr(walk(0))
 
 
+def _unit_case(tree: Tree, test: Callable[[Node], str]) -> Column:
+    """Leaf value of a tree with weight 1."""
+    return _case(replace(tree, weight=1.0), test)
+
+
 def _walk(trees: list[Tree], classes: int):
     """Vectorised walk of many trees over Arrow batches."""
     packed = []
@@ -349,12 +390,19 @@ class NewtonBoost:
 
     def fit(self, df: DataFrame, key: str, features: list[str], label: str, weight: str | None = None,
             base_margin: str | None = None, model: BoostModel | None = None, group: str | None = None,
-            watch: dict[str, DataFrame] | None = None, metric: Callable | dict[str, Callable] | None = None, early_stop: int | None = None,
-            maximize: bool = False, save_every: int = 0, save_path: str | None = None) -> BoostModel:
-        """``watch`` tables get ``metric(df with label, pred, w and grp)`` after every round, or each of several named
-        metrics (history keys are then ``table-metric``); with ``early_stop`` the last one of the last table ends the
-        fit after that many rounds without gain. ``BoostModel.best_trees`` counts the trees up to the best round."""
+            watch: dict[str, DataFrame] | None = None, metric: Callable | dict[str, Callable] | str | list[str] | None = None,
+            early_stop: int | None = None, maximize: bool | None = None, save_every: int = 0, save_path: str | None = None) -> BoostModel:
+        """``watch`` tables get ``metric(df with label, pred, w and grp)`` after every round, or each of several
+        metrics, given as functions by name or as names of ``ready_metric`` (history keys are then ``table-metric``); with ``early_stop`` the
+        last one of the last table ends the fit after that many rounds without gain. Larger is better if ``maximize`` says so, and by
+        default for auc, ndcg and map. ``BoostModel.best_trees`` counts the trees up to the best round."""
         p = self.p
+        names = [metric] if isinstance(metric, str) else metric
+        if isinstance(names, list):
+            metric = {name: ready_metric(name) for name in names}
+        if maximize is None:
+            judge = names[-1] if isinstance(names, list) else "ndcg" if metric is None and p.objective == "rank:pairwise" else ""
+            maximize = judge.partition("@")[0] in ("auc", "ndcg", "map")
         old = list(model.trees) if model else []
         self.model = BoostModel(features, p, old, first_trees=len(old))
         self.cuts = bin_cuts(df, features, p.max_bins)
@@ -367,6 +415,9 @@ class NewtonBoost:
             new = self._round(step + len(old))
             self.model.trees.extend(new)
             self.pending.extend(new)
+            if p.dart:
+                self.table = self._with_margins(self.table, new)
+                watched = {name: self._with_margins(t, new) for name, t in watched.items()}
             if watched:
                 named = metric if isinstance(metric, dict) else {"": metric}
                 line = {f"{name}-{m}" if m else name: self._metric(t, f) for name, t in watched.items() for m, f in named.items()}
@@ -397,14 +448,31 @@ class NewtonBoost:
             start = self.model.margins(base=base)
         group = [F.col(self.group).alias("grp")] if self.group else []
         ready = df.withColumns({"_w": w, "_start": F.array(*start)})
+        # with dropped trees every tree's own margin is kept, without its changing weight
+        own = []
+        if p.dart:
+            own = [F.array(*[c for t in self.model.trees for c in [_unit_case(t, self._value_test)]]).cast("array<double>").alias("t")]
         return cut(bin_rows(ready, features, self.cuts).select(
             F.col(key).alias("key"), F.col(label).cast("double").alias("y"), F.col("_w").alias("w"),
-            F.col("_start").alias("m"), "bins", *group))
+            F.col("_start").alias("m"), "bins", *own, *group))
+
+    def _value_test(self, n: Node) -> str:
+        x = f"CAST(`{self.model.features[n.feature]}` AS DOUBLE)"
+        return f"(CASE WHEN {x} IS NULL OR isnan({x}) THEN {str(n.missing_left).lower()} ELSE {x} < double('{float(n.threshold)!r}') END)"
+
+    def _with_margins(self, table: DataFrame, new: list[Tree]) -> DataFrame:
+        """The table with the margins of the new trees behind those of the others; the plan does not grow with the rounds."""
+        return cut(table.withColumn("t", F.concat("t", F.array(*[_unit_case(t, _bin_test) for t in new]))))
 
     def _margins(self, dropped: set[int] = frozenset()) -> list[Column]:
-        """Stored margins plus the trees since the last cut (all trees for dart)."""
-        trees = self.model.trees if self.p.dart else self.pending
-        out = []
+        """Stored margins plus the trees since the last cut; for dart, plus the weighted margins of all trees that are not dropped."""
+        trees, out = self.pending, []
+        if self.p.dart:
+            for c in range(max(1, self.p.num_class)):
+                weights = [t.weight if t.cls == c and i not in dropped else 0.0 for i, t in enumerate(self.model.trees)]
+                terms = F.zip_with("t", double_array(weights), lambda x, w: x * w) if weights else None
+                out.append(F.col("m")[c] if terms is None else F.col("m")[c] + F.aggregate(terms, F.lit(0.0), lambda s, x: s + x))
+            return out
         for c in range(max(1, self.p.num_class)):
             terms = [_case(t, _bin_test) for i, t in enumerate(trees) if t.cls == c and i not in dropped]
             out.append(sum(terms, F.col("m")[c]))
@@ -454,7 +522,7 @@ class NewtonBoost:
         gh.update({f"h{c}": F.col("w") * h for c, (_, h) in enumerate(pairs)})
         table = table.withColumns(gh)
         slots = [Tree(cls=c) for c in range(len(pairs)) for _ in range(p.num_parallel_tree)]
-        self._grow(table, slots, step, rng)
+        self._grow(table, slots, step)
         scale, k = p.eta / p.num_parallel_tree, len(dropped)
         for tree in slots:
             self._prune(tree)
@@ -470,9 +538,8 @@ class NewtonBoost:
                 self.model.trees[i].weight *= down
         return slots
 
-    def _grow(self, table: DataFrame, slots: list[Tree], step: int, rng: np.random.Generator) -> None:
-        p, d = self.p, len(self.model.features)
-        per_tree = [self._pick(rng, np.arange(d), p.colsample_bytree) for _ in slots]
+    def _grow(self, table: DataFrame, slots: list[Tree], step: int) -> None:
+        p = self.p
         sampled = []
         for s in range(len(slots)):
             sampled.append(uniform("key", F.lit(p.seed * 7919 + step * 104729 + s)) < p.subsample
@@ -483,7 +550,6 @@ class NewtonBoost:
         for level in range(p.max_depth):
             if not active:
                 break
-            allowed = [self._pick(rng, f, p.colsample_bylevel) for f in per_tree]
             if level > INLINE_DEPTH:
                 table = cut(table.withColumns({f"n{s}": self._place(t, s, table) for s, t in enumerate(slots)}))
             cells = []
@@ -494,12 +560,10 @@ class NewtonBoost:
                     cells.append(F.when(sampled[s] & node.isin(live), F.struct(
                         F.lit(s).alias("s"), node.alias("node"), F.col(f"g{tree.cls}").alias("g"),
                         F.col(f"h{tree.cls}").alias("h"))))
-            rows = table.select("bins", F.explode(F.array_compact(F.array(*cells))).alias("c"))
-            hist = rows.select("c.*", F.posexplode("bins").alias("f", "b")).groupBy("s", "node", "f", "b").agg(
-                F.sum("g").alias("g"), F.sum("h").alias("h"))
-            if any(len(a) < d for a in allowed) or p.colsample_bynode < 1:
-                hist = hist.join(F.broadcast(self._feature_sets(table.sparkSession, active, allowed, rng)),
-                                 ["s", "node", "f"])
+            rows = table.select("bins", F.array_compact(F.array(*cells)).alias("c")).where(F.size("c") > 0)
+            parts = rows.mapInArrow(_histograms(max(len(c) for c in self.cuts) + 3), "s int, node int, f int, b int, g double, h double")
+            hist = parts.groupBy("s", "node", "f", "b").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+            hist = self._chosen_features(hist, step, level)
             active = self._split(hist, slots)
 
     def _place(self, tree: Tree, s: int, table: DataFrame) -> Column:
@@ -514,15 +578,17 @@ class NewtonBoost:
                 moved = F.when(at == i, F.when(F.expr(_bin_test(n)), F.lit(2 * i + 1)).otherwise(2 * i + 2)).otherwise(moved)
         return moved
 
-    @staticmethod
-    def _pick(rng: np.random.Generator, pool: np.ndarray, rate: float) -> np.ndarray:
-        if rate >= 1:
-            return pool
-        return np.sort(rng.choice(pool, max(1, int(round(len(pool) * rate))), replace=False))
-
-    def _feature_sets(self, spark, active, allowed, rng) -> DataFrame:
-        rows = [(s, i, int(f)) for s, i in sorted(active) for f in self._pick(rng, allowed[s], self.p.colsample_bynode)]
-        return spark.createDataFrame(rows, "s int, node int, f int")
+    def _chosen_features(self, hist: DataFrame, step: int, level: int) -> DataFrame:
+        """The features that a tree, a level of it and a node may use: the first shares of them in orders that hashes give."""
+        p, kept = self.p, len(self.model.features)
+        for rate, place in ((p.colsample_bytree, [F.lit(0)]), (p.colsample_bylevel, [F.lit(level + 1)]), (p.colsample_bynode, [F.lit(-1 - level), F.col("node")])):
+            if rate >= 1:
+                continue
+            kept = max(1, int(round(kept * rate)))
+            order = F.xxhash64(F.lit(p.seed), F.lit(step), "s", *place, "f")
+            # a node has a row for each feature and bin, whatever the number of rows
+            hist = hist.withColumn("_k", F.dense_rank().over(W.partitionBy("s", "node").orderBy(order, "f"))).where(F.col("_k") <= kept).drop("_k")
+        return hist
 
     def _score(self, g: str, h: str) -> str:
         """Twice the loss that the best weight of a node takes away."""
@@ -555,7 +621,9 @@ class NewtonBoost:
         fits = "c > 0 AND H - c > 0 AND c >= {0}D AND H - c >= {0}D".format(float(self.p.min_child_weight))
         gain = f"{self._score('a', 'c')} + {self._score('(G - a)', '(H - c)')} - {self._score('G', 'H')}"
         best = options.groupBy("s", "node").agg(F.expr("max(G)").alias("G"), F.expr("max(H)").alias("H"), F.expr(
-            f"max(struct(CASE WHEN {fits} THEN {gain} ELSE -1D END AS gain, -f AS nf, -b AS nb, left, a AS gl, c AS hl))").alias("best"))
+            f"max(struct(CAST(CASE WHEN {fits} THEN {gain} ELSE -1D END AS FLOAT) AS key, -f AS nf, -b AS nb, left, a AS gl, c AS hl, "
+            f"CASE WHEN {fits} THEN {gain} ELSE -1D END AS gain))").alias("best"))
+        # gains that differ in the order of summation only are ties, so a fit does not depend on how rows are dealt
         active = set()
         for r in best.collect():
             tree, i, b = slots[r["s"]], r["node"], r["best"]
@@ -580,12 +648,88 @@ class NewtonBoost:
                 del tree.nodes[2 * i + 1], tree.nodes[2 * i + 2]
 
 
+def _histograms(width: int, cells: int = 1 << 22):
+    """Gradient sums of a partition by (slot, node, feature, bin): what leaves a task does not depend on its number of rows.
+
+    The sums of ``cells`` bins are held at most; with more nodes than that a task sends on several partial histograms.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index: dict[int, int] = {}
+        held = np.zeros((3, 0, 0, width))
+
+        def sums() -> pa.RecordBatch:
+            node, f, b = np.nonzero(held[2])
+            code = np.array(list(index), np.int64)[node]
+            return pa.RecordBatch.from_arrays([
+                pa.array(code >> 32, pa.int32()), pa.array(code & 0xFFFFFFFF, pa.int32()), pa.array(f, pa.int32()), pa.array(b - 1, pa.int32()),
+                pa.array(held[0][node, f, b]), pa.array(held[1][node, f, b])], ["s", "node", "f", "b", "g", "h"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bins = batch.column("bins").flatten().to_numpy().astype(np.int64).reshape(batch.num_rows, -1) + 1
+            d = bins.shape[1]
+            row = np.repeat(np.arange(batch.num_rows), batch.column("c").value_lengths().to_numpy())
+            s, node, g, h = (x.to_numpy() for x in batch.column("c").flatten().flatten())
+            codes, at = np.unique(s.astype(np.int64) << 32 | node.astype(np.int64), return_inverse=True)
+            if len(index) * d * width > cells:
+                yield sums()
+                index, held = {}, np.zeros((3, 0, d, width))
+            for c in codes.tolist():
+                index.setdefault(c, len(index))
+            n = len(index)
+            if held.shape[1] < n:
+                held = np.concatenate([held.reshape(3, -1, d, width), np.zeros((3, n - held.shape[1], d, width))], axis=1)
+            base = np.array([index[c] for c in codes.tolist()], np.int64)[at] * width
+            for f in range(d):
+                place = base + bins[row, f]
+                for k, values in enumerate((g, h, None)):
+                    held[k, :, f] += np.bincount(place, values, n * width).reshape(n, width)
+        if index:
+            yield sums()
+
+    return task
+
+
+def ready_metric(name: str) -> Callable[[DataFrame], float]:
+    """A watched metric by name: ``rmse``, ``mae``, ``logloss``, ``error`` or ``error@t``, ``merror``, ``auc``, and, by group, ``ndcg`` or ``ndcg@n``,
+    ``map`` or ``map@n``. Rows come with ``label, pred, w`` and, for the last two, ``grp``."""
+    from millrace.operators import metrics
+
+    kind, _, at = name.partition("@")
+    label, pred, w = F.col("label"), F.col("pred"), F.col("w")
+    mean = lambda x: lambda df: df.agg(F.sum(x * w) / F.sum(w)).first()[0]
+    if kind == "rmse":
+        return lambda df: math.sqrt(mean((pred - label) ** 2)(df))
+    if kind == "mae":
+        return mean(F.abs(pred - label))
+    if kind == "logloss":
+        return mean(metrics.log_loss_terms("logloss", "label", "pred"))
+    if kind == "error":
+        return mean(((pred > float(at or 0.5)).cast("int") != label).cast("double"))
+    if kind == "merror":
+        return mean((pred != label).cast("double"))
+    if kind == "auc":
+        return lambda df: metrics.auc_rank(df, "label", "pred").first()["auc"]
+    if kind in ("ndcg", "map"):
+        n = int(at) if at else None
+
+        def by_group(df: DataFrame) -> float:
+            # equal scores are ranked by a hash, the same in every round
+            rows = df.withColumn("_id", F.xxhash64("grp", "label", "pred"))
+            return (metrics.ndcg_at if kind == "ndcg" else metrics.map_at)(rows, "grp", "label", "pred", "_id", n).agg(F.avg("ndcg" if kind == "ndcg" else "ap")).first()[0]
+        return by_group
+    raise ValueError(f"unknown metric {name}")
+
+
 def default_metric(objective) -> Callable[[DataFrame], float]:
     if objective in ("binary:logistic", "reg:logistic", "binary:logitraw"):
         cutoff = 0.0 if objective == "binary:logitraw" else 0.5
         return lambda df: df.agg(F.avg(((F.col("pred") > cutoff).cast("int") != F.col("label")).cast("double"))).first()[0]
     if objective in MULTI:
         return lambda df: df.agg(F.avg((F.col("pred") != F.col("label")).cast("double"))).first()[0]
+    if objective == "rank:pairwise":
+        return ready_metric("ndcg")
     return lambda df: df.agg(F.sqrt(F.avg((F.col("pred") - F.col("label")) ** 2))).first()[0]
 
 

@@ -60,17 +60,19 @@ def stratified_kfold(df: DataFrame, key: str, label: str, folds: int, repeats: i
 
 
 def cross_val_scores(df: DataFrame, key: str, folds: int, fit_score: FitScore, seed: int = 0,
-                     preprocess: Callable | None = None) -> dict:
+                     preprocess: Callable | None = None, parallel: int = 4) -> dict:
     """Score per fold, mean and population deviation.
 
-    ``preprocess(train, test)`` may change both tables of a fold before the fit.
+    ``preprocess(train, test)`` may change both tables of a fold before the fit; ``parallel`` folds run at a time.
     """
-    scores = []
-    for k in range(folds):
+    def one(k: int) -> float:
         train, test = fold_extract(df, key, k, folds, seed)
         if preprocess:
             train, test = preprocess(train, test)
-        scores.append(float(fit_score(train, test)))
+        return float(fit_score(train, test))
+
+    with ThreadPoolExecutor(min(parallel, folds)) as pool:
+        scores = list(pool.map(one, range(folds)))
     return {"scores": scores, "mean": statistics.fmean(scores), "std": statistics.pstdev(scores)}
 
 
@@ -87,7 +89,7 @@ def grid_search(df: DataFrame, key: str, grid: dict[str, list], folds: int,
     """All combinations, best first, with mean and deviation over the folds; ``parallel`` combinations run at a time."""
     def one(values: tuple) -> dict:
         params = dict(zip(grid, values))
-        found = cross_val_scores(df, key, folds, lambda a, b: fit_score(a, b, params))
+        found = cross_val_scores(df, key, folds, lambda a, b: fit_score(a, b, params), parallel=1)
         return {"params": params, "mean": found["mean"], "std": found["std"]}
 
     with ThreadPoolExecutor(parallel) as pool:

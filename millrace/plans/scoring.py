@@ -51,16 +51,33 @@ def _nb_accuracy(train, test):
 
 def _score_table(spark, found: dict):
     rows = [(i, s, found["mean"], found["std"]) for i, s in enumerate(found["scores"])]
-    return spark.createDataFrame(rows, "fold int, score double, mean double, std double")
+    return spark.createDataFrame(rows, "fold int, score double, mean double, std double").select("fold", *[R6(c).alias(c) for c in ("score", "mean", "std")])
 
 
-@query("cross_val_scores")
+def _nb_sql(fit: str, judge: str) -> str:
+    """``acc (k, kind, score)``: naive Bayes fitted on the rows ``fit (k, id)`` of each k, judged on ``judge (k, kind, id)``."""
+    return f"""WITH {v.VECTORS}, {v.LONG}, fit AS MATERIALIZED ({fit}), judge AS MATERIALIZED ({judge}), m AS MATERIALIZED (SELECT k, c.label, d, avg(v) AS m, var_pop(v) AS s FROM fit
+       JOIN cells c USING (id) GROUP BY ALL), e AS MATERIALIZED (SELECT k, 1e-9 * max(s) AS e FROM (SELECT k, d, var_pop(v) AS s FROM fit JOIN cells USING (id) GROUP BY ALL) GROUP BY ALL),
+       p AS MATERIALIZED (SELECT k, label, ln(count(*) / sum(count(*)) OVER (PARTITION BY k)) AS prior FROM fit JOIN vectors USING (id) GROUP BY k, label),
+       s AS (SELECT j.k, j.kind, j.id, m.label AS pred, any_value(c.label) AS label, any_value(prior) + sum(-0.5 * ln(2 * pi() * (s + e)) - (v - m) * (v - m) / (2 * (s + e))) AS score
+       FROM judge j JOIN cells c ON c.id = j.id JOIN m ON m.k = j.k AND m.d = c.d JOIN p ON p.k = j.k AND p.label = m.label JOIN e ON e.k = j.k GROUP BY j.k, j.kind, j.id, m.label),
+       acc AS (SELECT k, kind, avg(hit) AS score FROM (SELECT k, kind, id, (arg_max(pred, score) = any_value(label))::int AS hit FROM s GROUP BY k, kind, id) GROUP BY k, kind)"""
+
+
+def _folds_sql(n: int) -> str:
+    fold = f"{hash_sql('id')} % {n}"
+    ks = f"(SELECT unnest(range({n})) AS k)"
+    return (_nb_sql(f"SELECT k, id FROM vectors, {ks} WHERE {fold} <> k", f"SELECT k, 'test' AS kind, id FROM vectors, {ks} WHERE {fold} = k")
+            + " SELECT k::int AS fold, round(score, 6) AS score, round(avg(score) OVER (), 6) AS mean, round(stddev_pop(score) OVER (), 6) AS std FROM acc")
+
+
+@query("cross_val_scores", _folds_sql(4))
 def _(spark, sf):
     rows = cut(v.vectors(spark, sf))
     return _score_table(spark, validate.cross_val_scores(rows, "id", 4, _nb_accuracy))
 
 
-@query("two_fold_swap")
+@query("two_fold_swap", _folds_sql(2))
 def _(spark, sf):
     return _score_table(spark, validate.two_fold_swap(cut(v.vectors(spark, sf)), "id", _nb_accuracy))
 
@@ -96,10 +113,17 @@ def _(spark, sf):
     return _grid_rows(spark, validate.sweep_one_parameter(rows, "id", "trees", [2, 6, 12], 2, _forest_score))
 
 
-@query("learning_curve")
+_SHARES = "(SELECT unnest([0.25, 0.5, 1.0]) AS k)"
+_PART = f"{hash_sql('id')} >= {int(round(0.25 * HASH_PRIME))} AND {hash_sql('id', 1)} < round(k * {HASH_PRIME})"
+
+
+@query("learning_curve", _nb_sql(f"SELECT k, id FROM vectors, {_SHARES} WHERE {_PART}", f"""SELECT k, 'train' AS kind, id FROM vectors, {_SHARES} WHERE {_PART} UNION ALL
+       SELECT k, 'test', id FROM vectors, {_SHARES} WHERE {hash_sql('id')} < {int(round(0.25 * HASH_PRIME))}""") + """ SELECT k::double AS share,
+       round(any_value(score) FILTER (kind = 'train'), 6) AS train, round(any_value(score) FILTER (kind = 'test'), 6) AS test FROM acc GROUP BY 1""")
 def _(spark, sf):
     found = validate.learning_curve(cut(v.vectors(spark, sf)), "id", [0.25, 0.5, 1.0], _nb_accuracy)
-    return spark.createDataFrame([(r["share"], r["train"], r["test"]) for r in found], "share double, train double, test double")
+    out = spark.createDataFrame([(r["share"], r["train"], r["test"]) for r in found], "share double, train double, test double")
+    return out.select("share", R6("train").alias("train"), R6("test").alias("test"))
 
 
 @query("cv_with_preprocess")

@@ -59,13 +59,30 @@ def _(spark, sf):
     return out.select(R6("slope", 4).alias("slope"), R6("intercept", 4).alias("intercept"), R6("r2").alias("r2"))
 
 
-@query("linear_regression_many")
+def _normal_equations_sql() -> str:
+    """Least squares of the price on three columns: centred sums, solved by Cramer's rule."""
+    x, y = ["l_quantity", "l_discount", "l_tax"], "l_extendedprice"
+    sums = ", ".join([f"covar_pop({a}, {b}) AS s{i}{j}" for i, a in enumerate(x) for j, b in enumerate(x)] + [f"covar_pop({a}, {y}) AS r{i}" for i, a in enumerate(x)]
+                     + [f"avg({a}) AS m{i}" for i, a in enumerate(x)] + [f"avg({y}) AS my", f"var_pop({y}) AS vy"])
+
+    def det(m: list[list[str]]) -> str:
+        (a, b, c), (d, e, f), (g, h, i) = m
+        return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+    whole = [[f"s{i}{j}" for j in range(3)] for i in range(3)]
+    solved = ", ".join(f"{det([[f'r{i}' if j == k else whole[i][j] for j in range(3)] for i in range(3)])} / {det(whole)} AS w{k}" for k in range(3))
+    return f"""WITH s AS (SELECT {sums} FROM lineitem), w AS (SELECT *, {solved} FROM s)
+       SELECT unnest(['l_quantity', 'l_discount', 'l_tax', 'intercept', 'r2']) AS name, unnest([round(w0, 3), round(w1, 3), round(w2, 3),
+       round(my - w0 * m0 - w1 * m1 - w2 * m2, 3), round((w0 * r0 + w1 * r1 + w2 * r2) / vy, 3)]) + 0.0 AS value FROM w"""
+
+
+@query("linear_regression_many", _normal_equations_sql())
 def _(spark, sf):
     li = v.table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_tax", "l_extendedprice")
     model = linear.linear_regression_fit(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
     rows = [*zip(["l_quantity", "l_discount", "l_tax"], map(float, model.coefficients)), ("intercept", model.intercept),
             ("r2", model.summary.r2)]
-    return spark.createDataFrame(rows, "name string, value double")
+    return spark.createDataFrame(rows, "name string, value double").withColumn("value", R6("value", 3))
 
 
 # --- Bayes and neighbours ------------------------------------------------------------------------
@@ -114,6 +131,41 @@ def _(spark, sf):
 
 
 # --- boosting ----------------------------------------------------------------------------------------
+def _boost_sql(rounds: int, depth: int, source: str = "docs", margin: str = "0.0::double", grads: str | None = None, eta: float = 0.3,
+               features: tuple[str, ...] = ("f0", "f1", "f2")) -> str:
+    """CTEs of an unrolled fit on ``source (doc_id, y, features)``: ``m{r} (doc_id, m)`` holds the margins after r rounds, ``train`` says which
+    rows grow the trees. Cuts are the least value and 31 quantiles of a feature; a node may use those that begin a bin with rows of its own, and splits are the largest gain, then the first feature and cut."""
+    steps = f"(SELECT unnest([{', '.join(f'{i} / 32.0::double' for i in range(1, 32))}]))"
+    cells = " UNION ALL ".join(f"SELECT doc_id, {j} AS f, {c} AS x, train FROM src" for j, c in enumerate(features))
+    parts = [f"src AS (SELECT * FROM {source})", f"cells AS MATERIALIZED ({cells})",
+             f"cuts AS MATERIALIZED (SELECT DISTINCT f, x AS t FROM (SELECT f, min(x) AS x FROM cells WHERE train GROUP BY 1 UNION ALL SELECT f, v[greatest(ceil(p * len(v)), 1)::int] "
+             f"FROM (SELECT f, list(x ORDER BY x) AS v FROM cells WHERE train GROUP BY 1), {steps} s(p)))",
+             "bins AS MATERIALIZED (SELECT doc_id, f, max(t) AS t FROM cells JOIN cuts USING (f) WHERE t <= x GROUP BY 1, 2)",
+             f"m0 AS MATERIALIZED (SELECT doc_id, {margin} AS m FROM src)"]
+    for r in range(rounds):
+        p = f"(1 / (1 + exp(-m)))"
+        grad = grads.format(m=f"m{r}") if grads else f"SELECT doc_id, {p} - y AS g, greatest({p} * (1 - {p}), 1e-16) AS h FROM src JOIN m{r} USING (doc_id)"
+        parts.append(f"gh{r} AS MATERIALIZED ({grad})")
+        parts.append(f"n{r}_0 AS MATERIALIZED (SELECT doc_id, 0 AS node, train, false AS leaf FROM src)")
+        for d in range(depth):
+            at, k = f"n{r}_{d}", f"{r}_{d}"
+            gain = "gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)"
+            parts.append(f"tot{k} AS MATERIALIZED (SELECT node, sum(g) AS g, sum(h) AS h FROM {at} JOIN gh{r} USING (doc_id) WHERE train AND NOT leaf GROUP BY 1)")
+            parts.append(f"left{k} AS MATERIALIZED (SELECT node, f, t, sum(gh.g) AS gl, sum(gh.h) AS hl FROM {at} JOIN gh{r} gh USING (doc_id) JOIN (SELECT doc_id, f, x FROM cells) USING (doc_id) "
+                         f"JOIN cuts USING (f) WHERE x < t AND {at}.train AND NOT leaf GROUP BY 1, 2, 3)")
+            parts.append(f"best{k} AS MATERIALIZED (SELECT node, f, t FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain::float DESC, f, t) AS rk FROM (SELECT node, f, t, {gain} AS gain "
+                         f"FROM left{k} JOIN tot{k} USING (node) SEMI JOIN (SELECT node, f, t FROM {at} JOIN bins USING (doc_id) WHERE train) USING (node, f, t) WHERE hl >= 1 AND h - hl >= 1)) WHERE rk = 1 AND gain > 1e-6)")
+            parts.append(f"n{r}_{d + 1} AS MATERIALIZED (SELECT a.doc_id, CASE WHEN b.node IS NULL THEN a.node WHEN c.x < b.t THEN 2 * a.node + 1 ELSE 2 * a.node + 2 END AS node, a.train, "
+                         f"b.node IS NULL AS leaf FROM {at} a LEFT JOIN best{k} b ON b.node = a.node AND NOT a.leaf LEFT JOIN cells c ON c.doc_id = a.doc_id AND c.f = b.f)")
+        last = f"n{r}_{depth}"
+        parts.append(f"w{r} AS MATERIALIZED (SELECT node, CASE WHEN sum(h) < 1 THEN 0 ELSE -sum(g) / (sum(h) + 1) * {eta}::double END AS w FROM {last} JOIN gh{r} USING (doc_id) WHERE train GROUP BY 1)")
+        parts.append(f"m{r + 1} AS MATERIALIZED (SELECT doc_id, m + w AS m FROM m{r} JOIN {last} USING (doc_id) JOIN w{r} USING (node))")
+    return ", ".join(parts)
+
+
+_LEARN = "(SELECT *, quality AS y, true AS train FROM docs)"
+_PRED = "SELECT doc_id, round(1 / (1 + exp(-m)), 6) AS pred FROM m{}"
+
 _OBJECTIVES = {
     "reg:linear": ("m - y", "1.0::double"),
     "binary:logistic": ("1 / (1 + exp(-m)) - y", "1 / (1 + exp(-m)) * (1 - 1 / (1 + exp(-m)))"),
@@ -172,10 +224,19 @@ def _boosted(spark, sf, features=F3, label="quality", **params):
     return d, tool.fit(d, "doc_id", features, label)
 
 
-@query("newton_boost_fit")
+@query("newton_boost_fit", f"WITH {v.DOCS}, {_boost_sql(3, 3, _LEARN)} {_PRED.format(3)}")
 def _(spark, sf):
     d, model = _boosted(spark, sf)
-    return model.predict(d).select("doc_id", "pred")
+    return model.predict(d).select("doc_id", R6("pred").alias("pred"))
+
+
+@query("newton_boost_custom_fit", f"""WITH {v.DOCS}, {_boost_sql(2, 2, _LEARN, "0.5::double")} SELECT count(*) AS n, round(avg(((m > 0)::int <> y)::int), 6) AS error,
+       round(avg(m), 5) + 0.0 AS margin FROM m2 JOIN src USING (doc_id)""")
+def _(spark, sf):
+    d = cut(v.docs(spark, sf))
+    wrong = lambda df: df.agg(F.avg(((F.col("pred") > 0).cast("int") != F.col("label")).cast("double"))).first()[0]
+    model = boost.NewtonBoost(objective=log_objective, num_round=2, max_depth=2).fit(d, "doc_id", F3, "quality", watch={"train": d}, metric=wrong)
+    return model.predict(d, out="m").agg(F.count(F.lit(1)).alias("n"), R6(F.lit(model.history[-1]["train"])).alias("error"), R6(F.avg("m"), 5).alias("margin"))
 
 
 @query("newton_boost_multiclass")
@@ -187,11 +248,16 @@ def _(spark, sf):
     return model.predict(x).select("id", "pred")
 
 
-@query("newton_boost_ranking")
+_PAIR_GRADS = """SELECT r.doc_id, coalesce(sum(s * p), 0) AS g, coalesce(sum(2 * p * (1 - p)), 0) AS h FROM src r LEFT JOIN (SELECT a.doc_id, CASE WHEN a.y > b.y THEN -1 ELSE 1 END AS s,
+       1 / (1 + exp(-CASE WHEN a.y > b.y THEN k.m - j.m ELSE j.m - k.m END)) AS p FROM src a JOIN {m} j USING (doc_id) JOIN src b ON a.lang = b.lang AND a.y <> b.y
+       JOIN {m} k ON k.doc_id = b.doc_id) q USING (doc_id) GROUP BY 1"""
+
+
+@query("newton_boost_ranking", f"""WITH {v.DOCS}, {_boost_sql(2, 2, _LEARN, "0.5::double", _PAIR_GRADS)} SELECT doc_id, lang, round(m, 5) + 0.0 AS pred FROM m2 JOIN docs USING (doc_id)""")
 def _(spark, sf):
     d = cut(v.docs(spark, sf))
     model = boost.NewtonBoost(objective="rank:pairwise", num_round=2, max_depth=2).fit(d, "doc_id", F3, "quality", group="lang")
-    return model.predict(d, margin=True).select("doc_id", "lang", "pred")
+    return model.predict(d, margin=True).select("doc_id", "lang", R6("pred", 5).alias("pred"))
 
 
 @query("newton_boost_sampling")
@@ -214,20 +280,54 @@ def _(spark, sf):
     return model.predict(d).select("doc_id", "f0", "pred")
 
 
-@query("newton_boost_continue")
+@query("newton_boost_continue", f"WITH {v.DOCS}, {_boost_sql(2, 3, _LEARN)} {_PRED.format(2)}")
 def _(spark, sf):
     d, first = _boosted(spark, sf, num_round=1)
     margin = first.predict(d, out="base", margin=True)
     again = boost.NewtonBoost(objective="binary:logistic", num_round=1, max_depth=3).fit(margin, "doc_id", F3, "quality", base_margin="base")
-    return again.predict(margin, base=F.col("base")).select("doc_id", "pred")
+    return again.predict(margin, base=F.col("base")).select("doc_id", R6("pred").alias("pred"))
+
+
+@query("newton_boost_saved", f"WITH {v.DOCS}, {_boost_sql(3, 3, _LEARN)} {_PRED.format(3)}")
+def _(spark, sf):
+    d, first = _boosted(spark, sf, num_round=1)
+    path = scratch_path(spark, "model")
+    first.save(spark, path)
+    tool = boost.NewtonBoost(objective="binary:logistic", num_round=2, max_depth=3)
+    model = tool.fit(d, "doc_id", F3, "quality", model=boost.BoostModel.load(spark, path))
+    return model.predict(d).select("doc_id", R6("pred").alias("pred"))
+
+
+_SPLIT_DOCS = f"(SELECT *, quality AS y, NOT ({_TEST.replace('vec_id', 'doc_id')}) AS train FROM docs)"
+
 
+def _watch_sql(rounds: int) -> str:
+    lines = " UNION ALL ".join(f"SELECT {r} AS round, train, avg(((m > 0)::int <> y)::int) AS error, avg(-(y * ln(1 / (1 + exp(-m))) + (1 - y) * ln(1 - 1 / (1 + exp(-m))))) AS loss "
+                               f"FROM m{r + 1} JOIN src USING (doc_id) GROUP BY ALL" for r in range(rounds))
+    return f"WITH {v.DOCS}, {_boost_sql(rounds, 2, _SPLIT_DOCS)}, lines AS ({lines})"
 
-@query("newton_boost_watch")
+
+@query("newton_boost_metrics", _watch_sql(4) + """ SELECT round, round(any_value(error) FILTER (train), 6) AS train_error, round(any_value(loss) FILTER (train), 6) AS train_loss,
+       round(any_value(error) FILTER (NOT train), 6) AS test_error, round(any_value(loss) FILTER (NOT train), 6) AS test_loss,
+       (SELECT 1 + arg_min(round, (loss, round)) FROM lines WHERE NOT train)::int AS best_trees FROM lines GROUP BY 1""")
+def _(spark, sf):
+    train, test = validate.holdout_split(cut(v.docs(spark, sf)), "doc_id", 0.25)
+    model = boost.NewtonBoost(objective="binary:logistic", num_round=4, max_depth=2).fit(
+        train, "doc_id", F3, "quality", watch={"train": train, "test": test}, metric=["error", "logloss"])
+    rows = [(i, *[h[f"{t}-{m}"] for t in ("train", "test") for m in ("error", "logloss")], model.best_trees()) for i, h in enumerate(model.history)]
+    out = spark.createDataFrame(rows, "round int, train_error double, train_loss double, test_error double, test_loss double, best_trees int")
+    return out.select("round", *[R6(c).alias(c) for c in out.columns[1:-1]], "best_trees")
+
+
+@query("newton_boost_watch", _watch_sql(4) + """ SELECT round, round(any_value(error) FILTER (train), 6) AS train, round(any_value(error) FILTER (NOT train), 6) AS test FROM lines
+       WHERE round <= coalesce((SELECT min(a.round) FROM lines a WHERE NOT a.train AND a.round - (SELECT arg_min(b.round, (b.error, b.round)) FROM lines b
+       WHERE NOT b.train AND b.round <= a.round) >= 2), 99) GROUP BY 1""")
 def _(spark, sf):
     train, test = validate.holdout_split(cut(v.docs(spark, sf)), "doc_id", 0.25)
     model = boost.NewtonBoost(objective="binary:logistic", num_round=4, max_depth=2).fit(
         train, "doc_id", F3, "quality", watch={"train": train, "test": test}, early_stop=2)
-    return spark.createDataFrame([(i, h["train"], h["test"]) for i, h in enumerate(model.history)], "round int, train double, test double")
+    out = spark.createDataFrame([(i, h["train"], h["test"]) for i, h in enumerate(model.history)], "round int, train double, test double")
+    return out.select("round", R6("train").alias("train"), R6("test").alias("test"))
 
 
 def _given(spark):
@@ -248,14 +348,20 @@ def _(spark, sf):
     return model.predict(out, 2, "margin", margin=True).select("doc_id", *[R6(c).alias(c) for c in ("one", "two", "margin")])
 
 
-@query("dump_trees")
+def _splits_sql(rounds: int, depth: int) -> str:
+    return " UNION ALL ".join(f"SELECT {r} AS tree, * FROM best{r}_{d}" for r in range(rounds) for d in range(depth))
+
+
+@query("dump_trees", f"""WITH {v.DOCS}, {_boost_sql(2, 3, _LEARN)}, nodes AS (SELECT tree, node, printf('%d:[%s<%.6f] yes=%d,no=%d,missing=%d', node, ['f0', 'f1', 'f2'][f + 1], t,
+       2 * node + 1, 2 * node + 2, 2 * node + 1) AS line FROM ({_splits_sql(2, 3)}) UNION ALL SELECT tree, node, printf('%d:leaf=%.6f', node, w) FROM (SELECT 0 AS tree, * FROM w0
+       UNION ALL SELECT 1, * FROM w1)) SELECT tree, node, repeat(chr(9), floor(log2(node + 1))::int) || line AS line FROM nodes""")
 def _(spark, sf):
     _, model = _boosted(spark, sf, num_round=2)
     names = spark.createDataFrame([(i, f) for i, f in enumerate(F3)], "feature int, name string")
     return boost.dump_trees(model, spark, names)
 
 
-@query("feature_importance")
+@query("feature_importance", f"WITH {v.DOCS}, {_boost_sql(2, 3, _LEARN)} SELECT f AS feature, count(*) AS splits FROM ({_splits_sql(2, 3)}) GROUP BY 1")
 def _(spark, sf):
     _, model = _boosted(spark, sf, num_round=2)
     return boost.feature_importance(model.node_table(spark))
@@ -267,11 +373,26 @@ def _(spark, sf):
     return model.predict(d).select("doc_id", "pred")
 
 
-@query("linear_boost")
+def _linear_boost_sql(rounds: int, lam: float, alpha: float) -> str:
+    parts = ["w0 AS (SELECT 0.0::double AS w0, 0.0::double AS w1, 0.0::double AS w2, 0.0::double AS b)"]
+    for k in range(rounds):
+        sums = ", ".join(f"sum(g * f{j}) + {lam}::double * count(*) * any_value(w{j}) AS g{j}, sum(h * f{j} * f{j}) + {lam}::double * count(*) AS h{j}, any_value(w{j}) AS w{j}" for j in range(3))
+        step = ", ".join(f"w{j} + 0.5::double / 3 * CASE WHEN h{j} < 1e-12 THEN 0 WHEN w{j} - g{j} / h{j} >= 0 THEN greatest(-(g{j} + al) / h{j}, -w{j}) "
+                         f"ELSE least(-(g{j} - al) / h{j}, -w{j}) END AS w{j}" for j in range(3))
+        parts.append(f"p{k} AS (SELECT *, 1 / (1 + exp(-(b + w0 * f0 + w1 * f1 + w2 * f2))) AS p FROM docs, w{k})")
+        parts.append(f"s{k} AS (SELECT sum(g) AS g, sum(h) AS h, any_value(b) AS b, {alpha}::double * count(*) AS al, {sums} FROM (SELECT *, p - quality AS g, "
+                     f"greatest(p * (1 - p), 1e-16) AS h FROM p{k}))")
+        parts.append(f"w{k + 1} AS (SELECT {step}, b - 0.5::double * g / h AS b FROM s{k})")
+    return f"""WITH {v.DOCS}, {", ".join(parts)} SELECT unnest(['f0', 'f1', 'f2', 'bias']) AS name, unnest([round(w0, 5), round(w1, 5), round(w2, 5), round(b, 5)]) + 0.0 AS weight
+       FROM w{rounds}"""
+
+
+@query("linear_boost", _linear_boost_sql(5, 0.01, 0.001))
 def _(spark, sf):
     d = v.docs(spark, sf)
     model = boost.LinearBooster(num_round=5, reg_lambda=0.01, reg_alpha=0.001).fit(d, F3, "quality")
-    return spark.createDataFrame([*zip(F3, model.weights), ("bias", model.bias)], "name string, weight double")
+    rows = spark.createDataFrame([*zip(F3, model.weights), ("bias", model.bias)], "name string, weight double")
+    return rows.withColumn("weight", R6("weight", 5))
 
 
 @query("class_weight_scale", f"WITH {v.DOCS} SELECT round(count(*) FILTER (quality = 0) / count(*) FILTER (quality = 1), 6) AS scale_pos_weight FROM docs")
@@ -289,17 +410,43 @@ def _categorical(spark, sf):
 C45_ATTRS = ["lang", "source", "toxic", "size"]
 
 
-@query("c45_tree_fit")
+def _c45_sql(depth: int) -> str:
+    """CTEs of ``depth`` unrolled levels: ``r{d}`` holds the rows with their node, ``tree`` all nodes."""
+    names = ", ".join(f"'{a}'" for a in C45_ATTRS)
+    parts = [f"""r0 AS MATERIALIZED (SELECT doc_id, quality AS cls, lang, source, toxic::varchar AS toxic, least(floor(f0), 3)::int::varchar AS size, 'root' AS node, NULL::varchar AS parent,
+       NULL::varchar AS attr, NULL::varchar AS value, []::varchar[] AS used FROM docs)"""]
+    tree = []
+    entropy = "log2(sum({0})) - sum({0} * log2({0})) / sum({0})"
+    for d in range(depth + 1):
+        parts.append(f"""c{d} AS MATERIALIZED (SELECT node, parent, attr, value, sum(n)::bigint AS n, arg_min(cls, (-n, cls)) AS label FROM (SELECT node, parent, attr, value, cls, count(*) AS n FROM r{d}
+       GROUP BY ALL) GROUP BY ALL)""")
+        if d < depth:
+            parts.append(f"""g{d} AS MATERIALIZED (SELECT node, a, v, cls, count(*) AS n FROM (SELECT node, cls, used, unnest([{names}]) AS a, unnest([lang, source, toxic, size]) AS v FROM r{d})
+       WHERE NOT list_contains(used, a) GROUP BY ALL), v{d} AS (SELECT node, a, v, sum(n) AS n, {entropy.format('n')} AS h FROM g{d} GROUP BY ALL),
+       i{d} AS (SELECT node, a, sum(n * h) / sum(n) AS c, {entropy.format('n')} AS s FROM v{d} GROUP BY ALL), k{d} AS (SELECT node, a, {entropy.format('n')} AS e FROM
+       (SELECT node, a, cls, sum(n) AS n FROM g{d} GROUP BY ALL) GROUP BY ALL), b{d} AS MATERIALIZED (SELECT node, a AS split FROM (SELECT node, a, row_number() OVER (PARTITION BY node ORDER BY
+       round((e - c) / s, 12) DESC, list_position([{names}], a)) AS rk FROM i{d} JOIN k{d} USING (node, a) WHERE round(s, 12) > 0 AND round((e - c) / s, 12) > 0) WHERE rk = 1),
+       r{d + 1} AS MATERIALIZED (SELECT doc_id, cls, lang, source, toxic, size, concat_ws('/', node, concat_ws('=', split, val)) AS node, node AS parent, split AS attr, val AS value, list_append(used, split) AS used
+       FROM (SELECT *, CASE split WHEN 'lang' THEN lang WHEN 'source' THEN source WHEN 'toxic' THEN toxic ELSE size END AS val FROM r{d} JOIN b{d} USING (node)))""")
+            tree.append(f"SELECT c{d}.*, {d} AS depth, split FROM c{d} LEFT JOIN b{d} USING (node)")
+        else:
+            tree.append(f"SELECT *, {d} AS depth, NULL AS split FROM c{d}")
+    return f"WITH {v.DOCS}, {', '.join(parts)}, tree AS MATERIALIZED ({' UNION ALL '.join(tree)})"
+
+
+@query("c45_tree_fit", f"{_c45_sql(4)} SELECT node, parent, depth, attr, value, n, label, split AS split_attr FROM tree")
 def _(spark, sf):
     return c45.c45_tree_fit(_categorical(spark, sf), C45_ATTRS, "quality")
 
 
-@query("c45_tree_edges")
+@query("c45_tree_edges", f"""{_c45_sql(2)} SELECT parent, node AS child, value AS label FROM tree WHERE parent IS NOT NULL UNION ALL
+       SELECT node, node || '/class', label::varchar FROM tree WHERE split IS NULL""")
 def _(spark, sf):
     return c45.c45_tree_edges(c45.c45_tree_fit(_categorical(spark, sf), C45_ATTRS, "quality", 2))
 
 
-@query("c45_predict")
+@query("c45_predict", f"""{_c45_sql(2)} SELECT doc_id, label AS pred FROM (SELECT doc_id, arg_max(node, depth) AS node FROM (SELECT doc_id, node, 0 AS depth FROM r0 UNION ALL
+       SELECT doc_id, node, 1 FROM r1 UNION ALL SELECT doc_id, node, 2 FROM r2) GROUP BY 1) JOIN tree USING (node)""")
 def _(spark, sf):
     rows = cut(_categorical(spark, sf))
     return c45.c45_predict(rows, c45.c45_tree_fit(rows, C45_ATTRS, "quality", 2), C45_ATTRS, "doc_id")
