@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalar import key_hash, uniform
 from millrace.operators.graph import connected_components
-from millrace.operators.joins import euclid, grid_cell, nearest_center, neighbour_cells
+from millrace.operators.joins import epsilon_range_join, euclid, grid_cell, nearest_center, neighbour_cells
 from millrace.operators.nearest import knn_join
+from millrace.operators.quantiles import positions
 from millrace.session import cut
 
 
@@ -117,37 +118,37 @@ def mean_shift(df: DataFrame, key: str, coords: list[str], bandwidth: float, max
             break
     else:
         raise RuntimeError(f"modes still move after {max_iter} rounds")
-    modes = _merge_modes(done, coords, bandwidth)
-    if len(modes) <= 64:
-        return df.select(key, nearest_center(modes, coords)["idx"].alias("cluster"))
-    spark = df.sparkSession
-    kept = spark.createDataFrame([(i, m) for i, m in enumerate(modes)], "id long, x array<double>")
+    modes = cut(merged_modes(done, coords, bandwidth))
+    if modes.count() <= 64:
+        few = [[r[c] for c in coords] for r in modes.orderBy("id").collect()]
+        return df.select(key, nearest_center(few, coords)["idx"].alias("cluster"))
+    kept = modes.select("id", F.array(*coords).alias("x"))
     rows = df.select(F.col(key).cast("bigint").alias("id"), F.array(*[F.col(c).cast("double") for c in coords]).alias("x"))
     return knn_join(rows, kept, 1).select(F.col("qid").alias(key), F.col("cid").cast("int").alias("cluster"))
 
 
-def _merge_modes(modes: DataFrame, coords: list[str], bandwidth: float, limit: int = 100_000) -> list[list[float]]:
-    """Heaviest mode first; a mode within the bandwidth of a kept one is dropped."""
-    rows = modes.orderBy(F.desc("mass"), *coords).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"over {limit} modes; choose a larger bandwidth")
-    kept: list[list[float]] = []
-    taken: dict[tuple, list[list[float]]] = {}
-    for r in rows:
-        at = [r[c] for c in coords]
-        cell = tuple(math.floor(v / bandwidth) for v in at)
-        close = (m for step in _around(len(cell)) for m in taken.get(tuple(a + b for a, b in zip(cell, step)), []))
-        if all(math.dist(at, m) > bandwidth for m in close):
-            kept.append(at)
-            taken.setdefault(cell, []).append(at)
-    return kept
-
-
-def _around(dims: int) -> list[tuple]:
-    steps: list[tuple] = [()]
-    for _ in range(dims):
-        steps = [s + (d,) for s in steps for d in (-1, 0, 1)]
-    return steps
+def merged_modes(modes: DataFrame, coords: list[str], bandwidth: float) -> DataFrame:
+    """``(id, coords…)`` of the modes ``(mass, coords…)`` that stay: heaviest first, a mode within the bandwidth of a kept one is dropped.
+
+    That is the first maximal independent set in order of mass, found in rounds: of the open modes those without a heavier open neighbour stay and
+    their neighbours go. Only counts reach the driver.
+    """
+    ranked = cut(positions(modes, [F.desc("mass"), *[F.asc(c) for c in coords]]).withColumn("_pos", F.col("_pos").cast("long")))
+    pairs = cut(epsilon_range_join(ranked, "_pos", coords, bandwidth).select("a", "b"))
+    open_ids = ranked.select(F.col("_pos").alias("id"))
+    kept = None
+    while True:
+        behind = pairs.select(F.col("b").alias("id")).distinct()
+        new = cut(open_ids.join(behind, "id", "left_anti"))
+        kept = new if kept is None else kept.unionByName(new)
+        gone = pairs.join(new, pairs.a == new.id, "left_semi").select(F.col("b").alias("id")).distinct()
+        open_ids = cut(behind.join(gone, "id", "left_anti"))
+        if open_ids.isEmpty():
+            break
+        left = pairs.join(open_ids.withColumnRenamed("id", "a"), "a", "left_semi")
+        pairs = cut(left.join(open_ids.withColumnRenamed("id", "b"), "b", "left_semi").select("a", "b"))
+    found = ranked.join(kept.withColumnRenamed("id", "_pos"), "_pos").withColumnRenamed("_pos", "_rank")
+    return positions(found, [F.asc("_rank")]).select((F.col("_pos") - 1).cast("long").alias("id"), *coords)
 
 
 def dbscan(df: DataFrame, key: str, coords: list[str], eps: float, min_samples: int, light: int = 10_000) -> DataFrame:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import itertools
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import cut
+
 
 def join_inner(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return left.join(right, on, "inner")
@@ -68,23 +69,28 @@ def euclid(left: str, right: str, coords: list[str]) -> Column:
     return F.expr("sqrt(" + " + ".join(["0D", *[f"{g} * {g}" for g in gaps]]) + ")")
 
 
-def epsilon_range_join(df: DataFrame, key: str, coords: list[str], eps: float, cell_rows: int = 50_000) -> DataFrame:
+def epsilon_range_join(df: DataFrame, key: str, coords: list[str], eps: float, cell_rows: int = 4_000) -> DataFrame:
     """Pairs ``(a, b, dist)`` with ``a < b`` at most ``eps`` apart, for up to three dimensions.
 
     Points meet through grid cells of side eps: one side goes to its own cell, the
-    other to the surrounding ones. A cell with over ``cell_rows`` points is salted,
-    so its rows are spread over tasks.
+    other to the surrounding ones. Every cell is cut by its own counts: into as many parts as it has ``cell_rows`` points on
+    either side, so a part of points meets a part of surrounding points, and only the rows of full cells are copied.
     """
     if len(coords) > 3:
         raise ValueError("grid cells serve up to 3 dimensions; use nearest.pairs_within")
     placed = df.select(key, *coords).withColumn("_cell", grid_cell(coords, eps))
-    fullest = placed.groupBy("_cell").count().agg(F.max("count")).first()[0] or 0
-    salts = max(1, math.ceil(fullest / cell_rows))
-    own = placed.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
-    near = placed.withColumn("_cell", F.explode(neighbour_cells("_cell", len(coords)))).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = own.alias("l").join(
-        near.alias("r"), (F.col("l._cell") == F.col("r._cell")) & (F.col("l._salt") == F.col("r._salt"))
-        & (F.col(f"l.{key}") < F.col(f"r.{key}")))
+    # cells without points of their own meet nobody
+    inside = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
+    near = placed.withColumn("_cell", F.explode(neighbour_cells("_cell", len(coords))))
+    around = inside.withColumn("_from", F.explode(neighbour_cells("_cell", len(coords)))).join(
+        inside.select(F.col("_cell").alias("_from"), F.col("_n").alias("_m")), "_from").groupBy("_cell", "_n").agg(F.sum("_m").alias("_m"))
+    parts = cut(around.select("_cell", F.ceil(F.col("_n") / cell_rows).cast("int").alias("_ls"), F.ceil(F.col("_m") / cell_rows).cast("int").alias("_rs")))
+
+    def dealt(rows: DataFrame, mine: str, other: str) -> DataFrame:
+        return rows.join(parts, "_cell").withColumns({f"{mine}": F.pmod(F.xxhash64(key), F.col(f"{mine}s")).cast("int")}).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1))).drop("_ls", "_rs")
+
+    joined = dealt(placed, "_l", "_r").alias("l").join(dealt(near, "_r", "_l").alias("r"), on=[
+        F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("_cell", "_l", "_r")] + [F.col(f"l.{key}") < F.col(f"r.{key}")])
     return joined.select(F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b"),
                          euclid("l", "r", coords).alias("dist")).where(F.col("dist") <= eps)
