@@ -18,6 +18,7 @@ equal ``doc_id`` included; null ``doc_id`` is allowed. Other columns of the inpu
 from __future__ import annotations
 
 import hashlib
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -198,9 +199,9 @@ def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(), np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())
 
 
-def _common(values: np.ndarray, row: np.ndarray, n: int, columns: int = 4096) -> np.ndarray:
-    """How many values each two rows share; a row has each value once. Takes ``columns`` values at a time."""
-    out = np.zeros((n, n), np.float32)
+def _common(values: np.ndarray, row: np.ndarray, n: int, left: np.ndarray, right: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """How many values each row of ``left`` shares with each of ``right``; a row has each value once. Takes ``columns`` values at a time."""
+    out = np.zeros((len(left), len(right)), np.float32)
     _, at, count = np.unique(values, return_inverse=True, return_counts=True)
     keep = count[at] > 1
     column, row = (np.cumsum(count > 1) - 1)[at[keep]], row[keep]
@@ -210,55 +211,64 @@ def _common(values: np.ndarray, row: np.ndarray, n: int, columns: int = 4096) ->
         a, b = np.searchsorted(column, [lo, lo + columns])
         part = np.zeros((n, min(columns, int(column[-1]) + 1 - lo)), np.float32)
         part[row[a:b], column[a:b] - lo] = 1
-        out += part @ part.T
+        out += part[left] @ part[right].T
     return out
 
 
 def links(group: pa.Table, threshold: float) -> pa.RecordBatch | None:
-    """Brute force on the sets of one leaf, or on two tiles of a large one."""
+    """Brute force on the sets of one leaf, or on two tiles of a large one, of which only pairs across are compared."""
     names = group.column("cls").combine_chunks()
     n = len(names)
     values, row = _lists(group.column("grams"))
     size = np.bincount(row, minlength=n)
-    common = _common(values, row, n)
-    similar = common * (1 + threshold) >= threshold * (size[:, None] + size[None, :]) - 1e-6
     tile, a, b = (group.column(c).to_numpy() for c in ("tile", "a", "b"))
-    similar &= tile[:, None] != tile[None, :] if a[0] != b[0] else ~np.eye(n, dtype=bool)
+    across = a[0] != b[0]
+    left, right = (np.flatnonzero(tile == x) for x in (a[0], b[0])) if across else (np.arange(n),) * 2
+    similar = _common(values, row, n, left, right) * (1 + threshold) >= threshold * (size[left][:, None] + size[right][None, :]) - 1e-6
+    if not across:
+        similar &= ~np.eye(n, dtype=bool)
     if not similar.any():
         return None
     node, homes = group.column("node")[0].as_py(), _lists(group.column("homes"))
     earlier = homes[0] < node
-    new = similar & (_common(homes[0][earlier], homes[1][earlier], n) == 0)
+    new = similar & (_common(homes[0][earlier], homes[1][earlier], n, left, right) == 0)
     # runs that have found the pair: those of its common nodes
-    shared = np.zeros((n, n), np.float32)
+    shared = np.zeros(similar.shape, np.float32)
     run = homes[0] & int(RUN_MASK)
     for r in np.unique(run):
-        shared += _common(homes[0][run == r], homes[1][run == r], n) > 0
+        shared += _common(homes[0][run == r], homes[1][run == r], n, left, right) > 0
     root = np.arange(n)
     while True:
-        low = np.minimum(root, np.where(similar, root[None, :], n).min(1))
+        low = root.copy()
+        low[left] = np.minimum(low[left], np.where(similar, low[right][None, :], n).min(1))
+        low[right] = np.minimum(low[right], np.where(similar, low[left][:, None], n).min(0))
         if (low == root).all():
             break
         root = low
     copies = group.column("copies").to_numpy().astype(float)
     ids = names.to_pylist()
-    keep = np.flatnonzero(similar.any(1))
-    upper = np.triu(new)
+    once = new if across else np.triu(new)
+    found = np.zeros((4, n), np.int64)
+    found[:, left] = new.sum(1), new @ copies[right], (once & (shared == 1)).sum(1), (once & (shared == 2)).sum(1)
+    linked = np.zeros(n, bool)
+    linked[left] = similar.any(1)
+    if across:
+        found[:2, right] = new.sum(0), copies[left] @ new
+        linked[right] = similar.any(0)
+    keep = np.flatnonzero(linked)
     return pa.RecordBatch.from_arrays([
-        names.take(pa.array(keep)), pa.array([ids[i] for i in root[keep]], pa.binary()),
-        pa.array(new[keep].sum(1).astype(np.int64)), pa.array((new[keep] @ copies).astype(np.int64)),
-        pa.array((upper & (shared == 1))[keep].sum(1).astype(np.int64)), pa.array((upper & (shared == 2))[keep].sum(1).astype(np.int64))],
+        names.take(pa.array(keep)), pa.array([ids[i] for i in root[keep]], pa.binary()), *(pa.array(x[keep]) for x in found)],
         ["cls", "low", "links", "copies", "f1", "f2"])
 
 
 def jaccard_join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.99, small: int = 128,
-                 tile: int = 768, max_depth: int = 4, step: int = 8) -> DataFrame:
+                 tile: int = 1536, max_depth: int = 4, step: int = 8) -> DataFrame:
     """``(doc_id, class_id, set_id, n_links, n_texts)``, one row for each row of ``docs (doc_id, text)``.
 
     ``set_id`` is the smallest doc_id with the same shingles, ``class_id`` the smallest of all documents that chains of
     links reach, ``n_texts`` the number of other shingle sets at ``threshold`` or more, ``n_links`` the number of other
     documents, copies included. Recall is estimated from the pairs that one and that two runs have found; ``step`` runs
-    are added until it reaches ``recall`` (32 at most).
+    are added until it reaches ``recall``; if the last of 32 runs has not, a warning says so.
     """
     runs = range(step)
     seen: DataFrame | None = None
@@ -279,7 +289,10 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall
         got = found.agg(F.sum("links"), F.sum("f1"), F.sum("f2")).first()
         pairs, f1, f2 = ((x or 0) for x in got)
         missing = f1 * max(f1 - 1, 0) / (2 * (f2 + 1)) * (1 - 1 / len(runs))
-        if pairs / 2 >= recall * (pairs / 2 + missing) or runs.stop + step > 1 << RUN_BITS:
+        reached = pairs / 2 >= recall * (pairs / 2 + missing)
+        if reached or runs.stop + step > 1 << RUN_BITS:
+            if not reached:
+                warnings.warn(f"estimated recall {pairs / 2 / (pairs / 2 + missing):.4f} after {runs.stop} runs, below {recall}", stacklevel=2)
             break
         seen, runs = (leaves, sets), range(runs.stop, runs.stop + step)
 
