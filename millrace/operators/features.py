@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import flag_member
+from millrace.operators.quantiles import positions
 from millrace.session import small
 
 MAX_CATEGORIES = 5_000  # a category becomes a column, and a plan cannot hold more
@@ -54,13 +55,8 @@ def feature_dictionary(df: DataFrame, attributes: list[str]) -> DataFrame:
     order = F.array(*[F.lit(a) for a in attributes])
     long = df.select(*[F.col(a).cast("string").alias(a) for a in attributes]).unpivot(
         [], attributes, "attr", "value").where("value is not null").distinct()
-    rows = sorted(
-        (tuple(r) for r in long.select(F.array_position(order, F.col("attr")), "attr", "value")
-         .limit(1_000_001).collect()))
-    if len(rows) > 1_000_000:
-        raise ValueError("dictionary over 1,000,000 values")
-    return df.sparkSession.createDataFrame(
-        [(attr, value, i) for i, (_, attr, value) in enumerate(rows)], "attr string, value string, feature_id int")
+    placed = positions(long.withColumn("_o", F.array_position(order, F.col("attr"))), ["_o", "value"])
+    return placed.select("attr", "value", (F.col("_pos") - 1).cast("int").alias("feature_id"))
 
 
 class ZScore:

@@ -7,8 +7,11 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.scalar import double_array
 from millrace.session import cut
 
+WIDE = 8   # coordinates from which on distances are loops
+
 
 def join_inner(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return left.join(right, on, "inner")
@@ -42,10 +45,15 @@ def nearest_center(centers: list[list[float]], coords: list[str]) -> Column:
     """
     options = []
     for i, center in enumerate(centers):
-        gaps = [f"(`{c}` - double('{float(v)!r}'))" for c, v in zip(coords, center)]
-        d2 = " + ".join(["0D", *[f"{g} * {g}" for g in gaps]])
-        options.append(f"struct({d2} AS d2, {i} AS idx)")
-    return F.array_min(F.expr(f"array({', '.join(options)})"))
+        if len(coords) > WIDE:
+            # a loop over the coordinates; spelt out, so many terms would not compile
+            gaps = F.transform(F.zip_with(F.array(*coords), double_array(center), lambda x, m: x - m), lambda g: g * g)
+            options.append(F.struct(F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g).alias("d2"), F.lit(i).alias("idx")))
+        else:
+            gaps = [f"(`{c}` - double('{float(v)!r}'))" for c, v in zip(coords, center)]
+            d2 = " + ".join(["0D", *[f"{g} * {g}" for g in gaps]])
+            options.append(F.expr(f"struct({d2} AS d2, {i} AS idx)"))
+    return F.array_min(F.array(*options))
 
 
 def nearest_center_join(df: DataFrame, centers: list[list[float]], coords: list[str]) -> DataFrame:

@@ -213,8 +213,9 @@ def vocabulary_topn(tokens: DataFrame, n: int, token: str = "token") -> DataFram
     top = counts.orderBy(F.desc("n"), token).limit(n - 1)
     rank = F.row_number().over(W.orderBy(F.desc("n"), token))  # at most n-1 rows, a parameter
     ranked = top.select(F.col(token).alias("word"), F.col("n"), rank.alias("idx"))
-    unknown = tokens.join(top.select(token), token, "left_anti").agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("UNK").alias("word"), "n", F.lit(0).alias("idx"))
+    # all tokens less those that are kept
+    rest = counts.select("n").unionByName(top.select((-F.col("n")).alias("n")))
+    unknown = rest.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(F.lit("UNK").alias("word"), "n", F.lit(0).alias("idx"))
     return unknown.unionByName(ranked)
 
 

@@ -94,7 +94,7 @@ def _(spark, sf):
                                        F.countDistinct("doc_id").alias("docs"))
 
 
-@query("save_load_model", f"WITH {v.DOCS} SELECT count(*) AS compared, 0::bigint AS differing FROM docs")
+@query("save_load_model", "SELECT count(*) AS compared, 0::bigint AS differing FROM documents")
 def _(spark, sf):
     d = v.docs(spark, sf)
     boost = NewtonBoost(objective="binary:logistic", num_round=2, max_depth=3)
@@ -102,7 +102,7 @@ def _(spark, sf):
     path = scratch_path(spark, "model")
     model.save(spark, path)
     again = BoostModel.load(spark, path)
-    both = again.predict(model.predict(d, out="a"), out="b")
+    both = again.predict(model.predict(v.all_docs(spark, sf), out="a"), out="b")
     return both.agg(F.count(F.lit(1)).alias("compared"), F.count_if(F.col("a") != F.col("b")).alias("differing"))
 
 
@@ -361,17 +361,15 @@ def _(spark, sf):
     return joins.attach_group_count(v.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_custkey"]).drop("o_custkey")
 
 
-CENTERS = [[-0.1, -0.1], [0.1, 0.1], [0.0, 0.15], [0.12, -0.08]]
-_CENTERS = "centers AS (SELECT * FROM (VALUES " + ", ".join(
-    f"({i}, {x}::double, {y}::double)" for i, (x, y) in enumerate(CENTERS)) + ") t(c, cx, cy))"
-NEAREST = f"""{v.POINTS}, {_CENTERS}, near AS (SELECT * FROM (SELECT id, x, y, c, (x - cx) * (x - cx) + (y - cy) * (y - cy) AS d2,
-       row_number() OVER (PARTITION BY id ORDER BY (x - cx) * (x - cx) + (y - cy) * (y - cy), c) AS rk FROM points, centers)
-       WHERE rk = 1)"""
+NEAREST = f"""{v.VECTORS}, centers AS (SELECT (row_number() OVER (ORDER BY id) - 1)::int AS c, x AS cx FROM (SELECT * FROM vectors ORDER BY id LIMIT 4)),
+       near AS (SELECT * FROM (SELECT id, x, c, {v.sql_d2('x', 'cx')} AS d2, row_number() OVER (PARTITION BY id ORDER BY {v.sql_d2('x', 'cx')}, c) AS rk
+       FROM vectors, centers) WHERE rk = 1)"""
 
 
 @query("nearest_center_join", f"WITH {NEAREST} SELECT id, c AS center, round(sqrt(d2), 6) AS dist FROM near")
 def _(spark, sf):
-    return joins.nearest_center_join(v.points2d(spark, sf), CENTERS, ["x", "y"]).select(
+    rows, names = v.coordinates(spark, sf)
+    return joins.nearest_center_join(rows, v.first_vectors(spark, sf, 4), names).select(
         "id", "center", F.round("dist", 6).alias("dist"))
 
 

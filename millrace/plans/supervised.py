@@ -122,10 +122,10 @@ def _(spark, sf):
     return model.transform(forest.with_features(test, F3)).select("doc_id", F.col("prediction").cast("int").alias("pred"))
 
 
-@query("ensemble_average", f"""WITH {v.DOCS}, p AS (SELECT doc_id, (3 / (1 + exp(-(f0 - 1))) + 1 / (1 + exp(-(f1 - 0.5)))) / 4 AS prob FROM docs)
+@query("ensemble_average", f"""WITH {v.ALL_DOCS}, p AS (SELECT doc_id, (3 / (1 + exp(-(f0 - 1))) + 1 / (1 + exp(-(f1 - 0.5)))) / 4 AS prob FROM docs)
        SELECT doc_id, round(prob, 6) AS prob, (prob > 0.5)::int AS pred FROM p""")
 def _(spark, sf):
-    d = v.docs(spark, sf)
+    d = v.all_docs(spark, sf)
     parts = [d.select("doc_id", sigmoid(F.col("f0") - 1).alias("prob")), d.select("doc_id", sigmoid(F.col("f1") - 0.5).alias("prob"))]
     return forest.ensemble_average(parts, "doc_id", [3.0, 1.0]).withColumn("prob", R6("prob"))
 
@@ -339,12 +339,12 @@ def _given(spark):
     return spark.createDataFrame(rows, boost.NODE_SCHEMA)
 
 
-@query("predict_first_n_trees", f"""WITH {v.DOCS}, t AS (SELECT doc_id, CASE WHEN f0 < 1 THEN CASE WHEN f1 < 0.1 THEN 0.6 ELSE 0.2 END ELSE -0.4 END AS a,
+@query("predict_first_n_trees", f"""WITH {v.ALL_DOCS}, t AS (SELECT doc_id, CASE WHEN f0 < 1 THEN CASE WHEN f1 < 0.1 THEN 0.6 ELSE 0.2 END ELSE -0.4 END AS a,
        CASE WHEN f1 < 0.2 THEN 0.3 ELSE -0.1 END AS b FROM docs) SELECT doc_id, round(1 / (1 + exp(-a)), 6) AS one, round(1 / (1 + exp(-(a + b))), 6)
        AS two, round(a + b, 6)::double + 0.0 AS margin FROM t""")
 def _(spark, sf):
     model = boost.BoostModel(["f0", "f1"], boost.Params(objective="binary:logistic"), boost.trees_from_table(_given(spark)))
-    out = model.predict(model.predict(v.docs(spark, sf), 1, "one"), 2, "two")
+    out = model.predict(model.predict(v.all_docs(spark, sf), 1, "one"), 2, "two")
     return model.predict(out, 2, "margin", margin=True).select("doc_id", *[R6(c).alias(c) for c in ("one", "two", "margin")])
 
 

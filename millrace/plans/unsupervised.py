@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.scalar import hash_sql
 from millrace.operators import cluster, joins, reduce, text, voronoi
 from millrace.plans import views as v
-from millrace.plans.preparation import CENTERS, NEAREST
+from millrace.plans.preparation import NEAREST
 from millrace.plans.registry import query
 from millrace.plans.scoring import _SCORED, _scored
 from millrace.session import scratch_path
@@ -19,21 +19,24 @@ XY = ["x", "y"]
 
 @query("kmeanspp_seeds")
 def _(spark, sf):
-    seeds = cluster.kmeanspp_seeds(v.points2d(spark, sf), "id", XY, 4)
-    return spark.createDataFrame([(i, *s) for i, s in enumerate(seeds)], "seed int, x double, y double")
+    rows, names = v.coordinates(spark, sf)
+    seeds = cluster.kmeanspp_seeds(rows, "id", names, 4)
+    return spark.createDataFrame([(i, d, x) for i, s in enumerate(seeds) for d, x in enumerate(s)], "seed int, d int, x double")
 
 
-@query("lloyd_step", f"""WITH {NEAREST} SELECT c AS center, count(*) AS n, round(avg(x), 6) + 0.0 AS x, round(avg(y), 6) + 0.0 AS y,
-       round(sum(d2), 6) AS sse FROM near GROUP BY 1""")
+@query("lloyd_step", f"""WITH {NEAREST}, s AS (SELECT c, count(*) AS n, round(sum(d2), 6) AS sse FROM near GROUP BY 1) SELECT c AS center, n, sse, d::int AS d,
+       round(avg(v), 6) + 0.0 AS mean FROM (SELECT c, unnest(range(len(x))) AS d, unnest(x) AS v FROM near) JOIN s USING (c) GROUP BY ALL""")
 def _(spark, sf):
-    out = cluster.lloyd_step(v.points2d(spark, sf), CENTERS, XY)
-    return out.select("center", "n", *[R6(c).alias(c) for c in ("x", "y", "sse")])
+    rows, names = v.coordinates(spark, sf)
+    out = cluster.lloyd_step(rows, v.first_vectors(spark, sf, 4), names)
+    return out.select("center", "n", R6("sse").alias("sse"), F.posexplode(F.array(*names)).alias("d", "mean")).withColumn("mean", R6("mean"))
 
 
 @query("lloyd_kmeans")
 def _(spark, sf):
-    centers, history = cluster.lloyd_kmeans(v.points2d(spark, sf), "id", XY, 4, max_iter=15)
-    return joins.nearest_center_join(v.points2d(spark, sf), centers, XY).select("id", "center", F.lit(history[-1]).alias("objective"))
+    rows, names = v.coordinates(spark, sf)
+    centers, history = cluster.lloyd_kmeans(rows, "id", names, 4, max_iter=15)
+    return joins.nearest_center_join(rows, centers, names).select("id", "center", F.lit(history[-1]).alias("objective"))
 
 
 @query("kmeans_objective")
@@ -44,12 +47,10 @@ def _(spark, sf):
 _PICK = f"ORDER BY {hash_sql('vec_id')}, vec_id LIMIT 200"
 
 
-@query("estimate_bandwidth", f"""WITH s AS (SELECT vec_id AS id, embedding[1]::double AS x, embedding[2]::double AS y FROM embeddings {_PICK}),
-       d AS (SELECT a.id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d, row_number() OVER (PARTITION BY a.id ORDER BY
-       (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y), b.id) AS rk FROM s a, s b) SELECT round(avg(d), 6) AS bandwidth FROM d WHERE rk = 40""")
+@query("estimate_bandwidth", f"""WITH s AS (SELECT vec_id AS id, embedding::double[] AS x FROM embeddings {_PICK}),
+       d AS (SELECT a.id, sqrt({v.sql_d2('a.x', 'b.x')}) AS d, row_number() OVER (PARTITION BY a.id ORDER BY {v.sql_d2('a.x', 'b.x')}, b.id) AS rk FROM s a, s b) SELECT round(avg(d), 6) AS bandwidth FROM d WHERE rk = 40""")
 def _(spark, sf):
-    points = v.points2d(spark, sf).select("id", F.array("x", "y").alias("x"))
-    return cluster.estimate_bandwidth(points, 0.2, 200).select(R6("bandwidth").alias("bandwidth"))
+    return cluster.estimate_bandwidth(v.vectors(spark, sf).select("id", "x"), 0.2, 200).select(R6("bandwidth").alias("bandwidth"))
 
 
 @query("mean_shift")
@@ -86,8 +87,7 @@ def _(spark, sf):
 
 @query("gmm_fit")
 def _(spark, sf):
-    rows = v.points2d(spark, sf).select("id", F.array("x", "y").alias("xy"))
-    return cluster.gmm_fit(rows, "xy", 3, max_iter=15)[1].select("id", "cluster")
+    return cluster.gmm_fit(v.vectors(spark, sf).select("id", "x"), "x", 3, max_iter=15)[1].select("id", "cluster")
 
 
 _COV = f"""WITH {v.VECTORS}, {v.LONG}, n AS (SELECT count(*)::double AS n FROM vectors) SELECT a.d::int AS i, b.d::int AS j, round((sum(a.v * b.v) - sum(a.v)

@@ -50,6 +50,18 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
         F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("x"), "label")
 
 
+def coordinates(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """``(id, x0, x1, …)`` and the names of the coordinates: the whole vectors as columns."""
+    rows = vectors(spark, sf)
+    names = [f"x{j}" for j in range(len((rows.first() or {"x": []})["x"]))]
+    return rows.select("id", *[F.col("x")[j].alias(c) for j, c in enumerate(names)]), names
+
+
+def first_vectors(spark: SparkSession, sf: str, k: int) -> list[list[float]]:
+    """The vectors of the k lowest ids, as given centres."""
+    return [list(r["x"]) for r in vectors(spark, sf).orderBy("id").limit(k).collect()]
+
+
 def points2d(spark: SparkSession, sf: str) -> DataFrame:
     return vectors(spark, sf).select("id", F.col("x")[0].alias("x"), F.col("x")[1].alias("y"))
 
@@ -91,9 +103,18 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
 def docs(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled documents with three numeric features."""
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    return _with_features(d, "quality", "toxic")
+
+
+def all_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents with the features, which need no label."""
+    return _with_features(table(spark, sf, "documents"))
+
+
+def _with_features(d: DataFrame, *more: str) -> DataFrame:
     n = F.size(words("text"))
     return d.select("doc_id", "lang", "source", F.col("n_chars"), n.cast("bigint").alias("n_words"),
-                    "quality", "toxic").withColumns({
+                    *more).withColumns({
                         "one": F.lit(1.0), "f0": F.col("n_chars") / 1000.0, "f1": F.col("n_words") / 1000.0,
                         "f2": F.col("n_chars") / F.greatest(F.col("n_words"), F.lit(1)) / 10.0})
 
@@ -110,6 +131,9 @@ WORDS = r"list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')"
 DOCS = (f"docs AS (SELECT *, n_chars / 1000.0::double AS f0, n_words / 1000.0::double AS f1, "
         f"n_chars / greatest(n_words, 1)::double / 10.0::double AS f2 FROM (SELECT d.doc_id, d.lang, d.source, d.n_chars, "
         f"len({WORDS})::bigint AS n_words, l.quality, l.toxic FROM documents d JOIN labels l USING (doc_id)))")
+ALL_DOCS = (f"docs AS (SELECT *, n_chars / 1000.0::double AS f0, n_words / 1000.0::double AS f1, "
+            f"n_chars / greatest(n_words, 1)::double / 10.0::double AS f2 FROM (SELECT doc_id, lang, source, n_chars, "
+            f"len({WORDS})::bigint AS n_words FROM documents))")
 TOKENS = (f"tokens AS (SELECT doc_id, unnest(range(len(w))) AS pos, unnest(w) AS token FROM "
           f"(SELECT doc_id, {WORDS} AS w FROM documents))")
 VECTORS = "vectors AS (SELECT vec_id AS id, embedding::double[] AS x, label FROM embeddings)"
