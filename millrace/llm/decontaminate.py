@@ -8,8 +8,12 @@ compared in lower case with runs of white space as one space.
 Items are sent to the tasks in blocks of about ``block_chars`` characters, one pass over the texts for each block, so no
 table is broadcast whole.
 
-Defined results: null or empty texts and items have no hits; items under ``min_chars`` characters (normalized) are
-no evidence and are not searched; items of equal text are all reported; repeated rows of a document each have their own hits.
+Items under ``short`` characters (normalized) are searched without edits, and count only between word ends: no letter, digit or underscore
+stands next to them.
+
+Defined results: null, empty and blank texts and items have no hits; items of equal text are all reported; of several passages of an item with the
+least distance the first is given; repeated rows of a document each have their own hits; very long texts are searched whole; extra columns
+pass through ``without_benchmark`` and are not looked at by ``benchmark_hits``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -66,11 +70,11 @@ class Finder:
     that lacks more than k blocks has no passage within k edits.
     """
 
-    def __init__(self, items: list[tuple[list[int], str]], rate: float):
+    def __init__(self, items: list[tuple[list[int], str]], rate: float, short: int):
         import ahocorasick
 
-        self.items, self.rate = items, rate
-        self.limits = [int(rate * len(t)) for _, t in items]
+        self.items, self.rate, self.short = items, rate, short
+        self.limits = [int(rate * len(t)) if len(t) >= short else 0 for _, t in items]
         pieces: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for i, ((_, text), k) in enumerate(zip(items, self.limits)):
             cuts = [len(text) * j // (k + 1) for j in range(k + 2)]
@@ -84,7 +88,7 @@ class Finder:
 
     def __reduce__(self):
         # tasks get the items and build the automaton themselves
-        return Finder, (self.items, self.rate)
+        return Finder, (self.items, self.rate, self.short)
 
     def find(self, text: str) -> Iterator[tuple[int, int, int, int]]:
         """``(item index, distance, start, end)`` of the best passage of each item in the text."""
@@ -96,7 +100,7 @@ class Finder:
             item, k = self.items[i][1], self.limits[i]
             found = None
             for d in starts:
-                if d >= 0 and text.startswith(item, d):
+                if d >= 0 and text.startswith(item, d) and (len(item) >= self.short or _apart(text, d, d + len(item))):
                     found = (0, d, d + len(item)) if found is None else min(found, (0, d, d + len(item)))
             if found is None and k:
                 for lo, hi in self._windows(sorted(starts), k, len(item), len(text)):
@@ -128,7 +132,15 @@ class Finder:
             yield lo, hi
 
 
-def blocks(items: DataFrame, rate: float, min_chars: int, block_chars: int) -> Iterator[Finder]:
+def _apart(text: str, a: int, b: int) -> bool:
+    """Whether text[a:b] neither begins nor ends inside a word."""
+    def inside(left: str, right: str) -> bool:
+        return all(c.isalnum() or c == "_" for c in (left, right))
+
+    return not (a and inside(text[a - 1], text[a])) and not (b < len(text) and inside(text[b - 1], text[b]))
+
+
+def blocks(items: DataFrame, rate: float, short: int, block_chars: int) -> Iterator[Finder]:
     """The items in blocks of about ``block_chars`` characters, one at a time."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -136,13 +148,13 @@ def blocks(items: DataFrame, rate: float, min_chars: int, block_chars: int) -> I
     for b in range(n):
         ids: dict[str, list[int]] = defaultdict(list)
         for item_id, text in items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == b).collect():
-            if len(text := normal(text)) >= max(min_chars, 1):
+            if text := normal(text):
                 ids[text].append(item_id)
         if ids:
-            yield Finder([(own, text) for text, own in sorted(ids.items())], rate)
+            yield Finder([(own, text) for text, own in sorted(ids.items())], rate, short)
 
 
-def benchmark_hits(docs: DataFrame, items: DataFrame, rate: float = 0.1, min_chars: int = 25, block_chars: int = 1 << 21) -> DataFrame:
+def benchmark_hits(docs: DataFrame, items: DataFrame, rate: float = 0.1, short: int = 25, block_chars: int = 1 << 21) -> DataFrame:
     """``(doc_id, item_id, distance, start, end)``: the best passage of each item in each text of ``docs``.
 
     ``start`` and ``end`` count characters of the normalized text.
@@ -150,7 +162,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, rate: float = 0.1, min_cha
     kind = "doc_id long, item_id long, distance long, start long, end long"
     out = docs.sparkSession.createDataFrame([], kind)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    for finder in blocks(items, rate, min_chars, block_chars):
+    for finder in blocks(items, rate, short, block_chars):
         def task(batches: Iterator[pa.RecordBatch], finder: Finder = finder) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 rows = [(doc, item, distance, start, end)
@@ -163,10 +175,10 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, rate: float = 0.1, min_cha
     return out
 
 
-def without_benchmark(docs: DataFrame, items: DataFrame, rate: float = 0.1, min_chars: int = 25, block_chars: int = 1 << 21) -> DataFrame:
+def without_benchmark(docs: DataFrame, items: DataFrame, rate: float = 0.1, short: int = 25, block_chars: int = 1 << 21) -> DataFrame:
     """The rows of ``docs`` whose text has no passage of an item; no shuffle, one pass for each block of items."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    for finder in blocks(items, rate, min_chars, block_chars):
+    for finder in blocks(items, rate, short, block_chars):
         def task(batches: Iterator[pa.RecordBatch], finder: Finder = finder) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = [next(finder.find(normal(text)), None) is None for text in batch.column("text").to_pylist()]
