@@ -8,7 +8,9 @@ of their id; every whole text is scored.
 
 Defined results: null or empty text has no words and the lowest severity; rows with a null label or a
 label of no document are not used; of several labels of a document the largest counts; without both clean and toxic
-rows nothing is rejected and all severities are 0. Repeated rows give repeated results.
+rows nothing is rejected and all severities are 0. Repeated rows give repeated results, and one of the rows of a ``doc_id`` trains;
+ties in the choice of words go by their hash. Very long texts are read whole, as blocks of their own. Input columns named ``p_toxic``,
+``p_severe``, ``expected_severity`` or ``rejected`` are replaced, all others pass through; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -82,26 +84,38 @@ def marked_words(sample: DataFrame, min_rows: int, min_chi2: float, min_lift: fl
     return np.sort(np.array([r[0] for r in picked.collect()], np.int64).view(np.uint64))
 
 
+def likelihood(score: np.ndarray, cuts: np.ndarray, grade: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean of ``-log P(grade)`` with ``P(grade >= k) = sigmoid(score - cut_k)``, its slopes by score, and by cut."""
+    n = len(grade)
+    up = 1 / (1 + np.exp(-np.clip(score[:, None] - cuts[None, :], -30, 30)))
+    # P(grade >= k) for k = 0 to steps + 1
+    tail = np.concatenate([np.ones((n, 1)), up, np.zeros((n, 1))], axis=1)
+    at = np.arange(n)
+    above, beyond = tail[at, grade], tail[at, grade + 1]
+    p = np.maximum(above - beyond, 1e-12)
+    by_cut = np.zeros(len(cuts))
+    for k in range(len(cuts)):
+        slope = up[:, k] * (1 - up[:, k]) / p
+        by_cut[k] = (slope[grade == k + 1].sum() - slope[grade == k].sum()) / n
+    return float(-np.log(p).mean()), (above + beyond - 1) / n, by_cut
+
+
 def fit(words: np.ndarray, row: np.ndarray, col: np.ndarray, val: np.ndarray, grade: np.ndarray, ridge: float,
         rounds: int) -> SeverityModel:
-    """Penalized likelihood by accelerated gradient steps; all arrays are of the bounded training rows."""
+    """Cumulative-link likelihood with a ridge on the weights, by adaptive gradient steps; all arrays are of the bounded training rows."""
     n, d, steps = len(grade), len(words), int(grade.max())
     w, c = np.zeros(d), np.linspace(1, 2, steps)
     state_m, state_s = np.zeros(d + steps), np.zeros(d + steps)
     for t in range(1, rounds + 1):
         score = np.bincount(row, val * w[col], n)
-        gw, gc = np.zeros(d), np.zeros(steps)
-        for k in range(steps):
-            # each threshold is a yes/no question about grade > k, with the same weights
-            p = 1 / (1 + np.exp(-np.clip(score - c[k], -30, 30)))
-            r = (p - (grade > k)) / n
-            gw += np.bincount(col, val * r[row], d)
-            gc[k] = -r.sum()
-        g = np.concatenate([gw + ridge * w, gc])
+        _, by_score, by_cut = likelihood(score, c, grade)
+        g = np.concatenate([np.bincount(col, val * by_score[row], d) + ridge * w, by_cut])
         state_m = 0.9 * state_m + 0.1 * g
         state_s = 0.999 * state_s + 0.001 * g * g
         move = 0.05 * (state_m / (1 - 0.9**t)) / (np.sqrt(state_s / (1 - 0.999**t)) + 1e-9)
+        # ordered thresholds, a little apart, so that no grade has probability 0
         w, c = w - move[:d], np.sort(c - move[d:])
+        c = np.maximum.accumulate(c + 1e-3 * np.arange(steps)) if (np.diff(c) < 1e-3).any() else c
     return SeverityModel(words, w, c)
 
 
@@ -112,7 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 30_000, min_rows:
         F.max(F.col("toxic").cast("int")).alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     # at most max_train rows of two numbers
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
-        F.broadcast(chosen), "doc_id").limit(max_train)
+        F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     # copies say nothing new about a word
     sample = cut(sample.dropDuplicates(["text", "toxic"]))
     words = marked_words(sample, min_rows, min_chi2, min_lift, max_features)
