@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.operators.quantiles import exact_quantiles
+from millrace.operators.quantiles import GROUP_VALUES, exact_quantiles
 
 
 def count_distinct(df: DataFrame, cols: list[str], approximate: bool = False) -> DataFrame:
@@ -35,14 +35,23 @@ def group_median(df: DataFrame, by: list[str], c: str) -> DataFrame:
 
 
 def describe_table(df: DataFrame, cols: list[str]) -> DataFrame:
-    """count, mean, sample std, min, quartiles, max; one row per column."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "v").where(
-        "v is not null")
-    moments = long.groupBy("column").agg(
-        F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    quartiles = exact_quantiles(long, ["column"], "v", [0.25, 0.5, 0.75])
-    return moments.join(F.broadcast(quartiles), "column").withColumnsRenamed({"q0": "q25", "q1": "q50", "q2": "q75"})
+    """count, mean, sample std, min, quartiles, max; one row per column that has a value.
+
+    One pass for the moments and the number of distinct values, one for the quartiles; only a column with more distinct
+    values than one buffer may hold has its quartiles narrowed down by rank.
+    """
+    ready = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    parts = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "distinct": F.approx_count_distinct}
+    found = ready.agg(*[f(c).alias(f"{c} {name}") for c in cols for name, f in parts.items()]).first()
+    cols = [c for c in cols if found[f"{c} n"]]
+    few = [c for c in cols if found[f"{c} distinct"] * 1.1 <= GROUP_VALUES]
+    probs = F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])
+    quartiles = dict(ready.agg(*[F.percentile(c, probs).alias(c) for c in few]).first().asDict()) if few else {}
+    for c in cols:
+        if c not in few:
+            quartiles[c] = tuple(exact_quantiles(ready.select(F.lit(0).alias("_all"), F.col(c).alias("_x")), ["_all"], "_x", [0.25, 0.5, 0.75]).select("q0", "q1", "q2").first())
+    rows = [(c, *[found[f"{c} {name}"] for name in list(parts)[:-1]], *quartiles[c]) for c in cols]
+    return df.sparkSession.createDataFrame(rows, "column string, n long, mean double, std double, min double, max double, q25 double, q50 double, q75 double")
 
 
 def null_profile(df: DataFrame) -> DataFrame:

@@ -69,7 +69,8 @@ def word_vectors(df: DataFrame, text: str, dim: int = 128, window: int = 1, voca
     """Skip-gram vectors ``(word, vector)``; words outside the vocabulary become UNK.
 
     The vocabulary bound also bounds the model every task receives. Training runs in one partition for every ``partition_tokens``
-    tokens; their models are averaged after each round.
+    tokens, as many as the session has cores at most; their models are added up after each round, so more partitions mean
+    vectors of lower quality for the same number of rounds.
     """
     rows = df.select(words(text).alias("_w")).withColumn("_row", F.monotonically_increasing_id())
     tokens = rows.select("_row", F.posexplode("_w").alias("_at", "token"))
@@ -80,7 +81,8 @@ def word_vectors(df: DataFrame, text: str, dim: int = 128, window: int = 1, voca
         F.struct("_at", F.coalesce("_known", F.lit("UNK")).alias("w")))).alias("_w"))
     rows = cut(kept.select(F.transform("_w", lambda x: x["w"]).alias("words")))
     n = rows.agg(F.sum(F.size("words"))).first()[0] or 0
-    model = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, maxIter=max_iter, numPartitions=max(1, -(-n // partition_tokens)),
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    model = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, maxIter=max_iter, numPartitions=max(1, min(-(-n // partition_tokens), cores)),
                      inputCol="words", outputCol="vec", seed=seed).fit(rows)
     return model.getVectors().select("word", vector_to_array("vector").alias("vector")), vocab
 

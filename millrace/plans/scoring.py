@@ -141,6 +141,25 @@ def _(spark, sf):
     return _score_table(spark, validate.cv_with_preprocess(cut(v.docs(spark, sf)), "doc_id", 3, weigh, fit))
 
 
+@query("pipeline_search")
+def _(spark, sf):
+    """Mean accuracy of a whole pipeline, features included, for each point of a grid."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    rows = cut(validate.with_fold(v.docs(spark, sf), "doc_id", 3))
+    lang = StringIndexer(inputCol="lang", outputCol="lang_id", handleInvalid="keep")
+    parts = VectorAssembler(inputCols=[*v.DOC_FEATURES, "lang_id"], outputCol="features")
+    model = LogisticRegression(labelCol="quality", maxIter=10)
+    grid = ParamGridBuilder().addGrid(model.regParam, [0.0, 0.1]).addGrid(model.elasticNetParam, [0.0, 1.0]).build()
+    judge = MulticlassClassificationEvaluator(labelCol="quality", metricName="accuracy")
+    found = validate.ml_grid_search(Pipeline(stages=[lang, parts, model]), grid, judge, rows, "fold", 3)
+    points = [(float(g[model.regParam]), float(g[model.elasticNetParam]), float(a)) for g, a in zip(grid, found.avgMetrics)]
+    return spark.createDataFrame(points, "reg double, elastic double, accuracy double")
+
+
 # --- metrics -----------------------------------------------------------------------------------
 def _scored(spark, sf):
     """Label and a score of every event: purchases or errors, scored by value."""

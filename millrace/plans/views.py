@@ -77,12 +77,12 @@ def clicks(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("click_flag"))
 
 
-def profiles(spark: SparkSession, sf: str) -> DataFrame:
+def profiles(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     """One row per user: nested basics and mean value per ``channel:event_type``.
 
     A user has at most channels x event types entries, whatever the number of events.
     """
-    means = clicks(spark, sf).where("click_flag = 0").groupBy(
+    means = (clicks(spark, sf) if events is None else events).where("click_flag = 0").groupBy(
         "user_id", F.concat_ws(":", "channel_id", "event_type").alias("k")).agg(F.avg("value").alias("v"))
     prefs = means.groupBy("user_id").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "v")))).alias("preference_info"))
