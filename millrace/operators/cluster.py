@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalar import key_hash, uniform
+from millrace.functions.scalar import HASH_PRIME, key_hash
 from millrace.operators.graph import connected_components
 from millrace.operators.joins import epsilon_range_join, euclid, grid_cell, nearest_center, neighbour_cells
 from millrace.operators.nearest import knn_join
@@ -25,7 +25,7 @@ def kmeanspp_seeds(df: DataFrame, key: str, coords: list[str], k: int, seed: int
     """
     chosen: list[list[float]] = []
     for step in range(k):
-        draw = -F.log(uniform(key, F.lit(seed * 1_000_003 + step)))
+        draw = -F.log((key_hash(key, seed * 1_000_003 + step) + 0.5) / float(HASH_PRIME))
         if not chosen:
             order = draw
         else:

@@ -41,7 +41,35 @@ def _(spark, sf):
     return spark.createDataFrame(linear.logreg_report(model, F3), "name string, value double")
 
 
-@query("logreg_minibatch")
+def _minibatch_sql(opt: str, loss: str, reg: str, batches: int = 3, epochs: int = 2, rate: float = 0.05, strength: float = 0.001) -> str:
+    """Every step unrolled: gradients of the step's batch, then the new weights (the bias is w3) and optimizer state."""
+    start = 0.1 if opt == "ftrl" else 0.0
+    parts = [f"s0 AS (SELECT {', '.join(f'0.0::double AS w{j}, {start}::double AS a{j}, 0.0::double AS b{j}' for j in range(4))})"]
+    lines = []
+    value, slope = (("greatest(z, 0) - z * y + ln(1 + exp(-abs(z)))", "p - y") if loss == "cross_entropy" else ("(y - p) * (y - p)", "2 * (p - y) * p * (1 - p)"))
+    for k in range(batches * epochs):
+        state = ", ".join(f"any_value({c}{j}) AS {c}{j}" for c in "wab" for j in range(4))
+        pull = [f" + {strength}::double * {f'w{j}' if reg == 'l2' else f'sign(w{j})'}" if j < 3 else "" for j in range(4)]
+        slopes = ", ".join(f"avg(s * {f'f{j}' if j < 3 else '1'}){pull[j].replace(f'w{j}', f'any_value(w{j})')} AS g{j}" for j in range(4))
+        penalty = f"{strength}::double * ({' + '.join(f'0.5 * any_value(w{j}) * any_value(w{j})' if reg == 'l2' else f'abs(any_value(w{j}))' for j in range(3))})"
+        parts.append(f"g{k} AS (SELECT avg({value}) + {penalty} AS loss, {slopes}, {state} FROM (SELECT *, {slope} AS s FROM (SELECT *, 1 / (1 + exp(-z)) AS p FROM (SELECT *, quality AS y, "
+                     f"w3 + w0 * f0 + w1 * f1 + w2 * f2 AS z FROM docs, s{k} WHERE {v.hash_sql('doc_id', 0)} % {batches} = {k % batches}))))")
+        new = []
+        for j in range(4):
+            if opt == "adam":
+                a, b = f"(0.9::double * a{j} + 0.1::double * g{j})", f"(0.999::double * b{j} + 0.001::double * g{j} * g{j})"
+                new.append(f"w{j} - {rate}::double * sqrt(1 - pow(0.999::double, {k + 1})) / (1 - pow(0.9::double, {k + 1})) * {a} / (sqrt({b}) + 1e-8) AS w{j}, {a} AS a{j}, {b} AS b{j}")
+            else:
+                a = f"(a{j} + g{j} * g{j})"
+                b = f"(b{j} + g{j} - (sqrt({a}) - sqrt(a{j})) / {rate}::double * w{j})"
+                new.append(f"-{b} * {rate}::double / sqrt({a}) AS w{j}, {a} AS a{j}, {b} AS b{j}")
+        parts.append(f"s{k + 1} AS (SELECT {', '.join(new)} FROM g{k})")
+        zero = " + ".join(f"(abs(w{j}) <= 1e-5)::int" for j in range(3))
+        lines.append(f"SELECT '{opt}' AS opt, {k} AS step, round(loss, 5) AS loss, round((w0 + w1 + w2) / 3, 5) + 0.0 AS w_avg, round(({zero}) / 3, 5) AS w_zero_ratio FROM g{k}")
+    return f"(WITH {', '.join(parts)} {' UNION ALL '.join(lines)})"
+
+
+@query("logreg_minibatch", f"WITH {v.DOCS} SELECT * FROM {_minibatch_sql('adam', 'cross_entropy', 'l2')} UNION ALL SELECT * FROM {_minibatch_sql('ftrl', 'squared', 'l1')}")
 def _(spark, sf):
     d = cut(v.docs(spark, sf))
     rows = []
@@ -49,7 +77,8 @@ def _(spark, sf):
         _, steps = linear.logreg_minibatch(d, "doc_id", F3, "quality", loss=loss, opt=opt, reg=reg, reg_param=0.001,
                                            rate=0.05, batches=3, epochs=2)
         rows += [(opt, s["step"], s["loss"], s["w_avg"], s["w_zero_ratio"]) for s in steps]
-    return spark.createDataFrame(rows, "opt string, step int, loss double, w_avg double, w_zero_ratio double")
+    out = spark.createDataFrame(rows, "opt string, step int, loss double, w_avg double, w_zero_ratio double")
+    return out.select("opt", "step", *[R6(c, 5).alias(c) for c in ("loss", "w_avg", "w_zero_ratio")])
 
 
 @query("linear_regression_fit", """SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.scalar import hash_sql
+from millrace.functions.scalar import HASH_PRIME, hash_sql
 from millrace.operators import cluster, joins, reduce, text, voronoi
 from millrace.plans import views as v
 from millrace.plans.preparation import NEAREST
@@ -17,11 +17,37 @@ R6 = v.rnd
 XY = ["x", "y"]
 
 
-@query("kmeanspp_seeds")
+def _seeds_sql(k: int) -> str:
+    """CTEs of the seeds: ``c0 (c, x)``."""
+    parts = []
+    for i in range(k):
+        draw = f"-ln(({hash_sql('id', i)} + 0.5::double) / {HASH_PRIME}::double)"
+        near = f"(SELECT min({v.sql_d2('v.x', 's.x')}) FROM ({' UNION ALL '.join(f'SELECT x FROM s{j}' for j in range(i))}) s)"
+        order = f"CASE WHEN d2 > 0 THEN {draw} / d2 END" if i else draw
+        parts.append(f"s{i} AS MATERIALIZED (SELECT x FROM (SELECT id, x, {near if i else '0'} AS d2 FROM vectors v) ORDER BY {order} NULLS LAST, id LIMIT 1)")
+    return ", ".join(parts) + ", c0 AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT {i} AS c, x FROM s{i}" for i in range(k)) + ")"
+
+
+def _near_sql(centers: str) -> str:
+    return (f"(SELECT id, c, d2 FROM (SELECT v.id, k.c, {v.sql_d2('v.x', 'k.x')} AS d2, row_number() OVER (PARTITION BY v.id ORDER BY {v.sql_d2('v.x', 'k.x')}, k.c) AS rk "
+            f"FROM vectors v, {centers} k) WHERE rk = 1)")
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """``rounds`` unrolled rounds; once no row moves, further rounds change nothing."""
+    parts = []
+    for r in range(rounds):
+        parts.append(f"a{r} AS MATERIALIZED {_near_sql(f'c{r}')}")
+        parts.append(f"c{r + 1} AS MATERIALIZED (SELECT c, list(m ORDER BY d) AS x FROM (SELECT c, d, avg(v) AS m FROM a{r} JOIN cells USING (id) GROUP BY c, d) GROUP BY c "
+                     f"UNION ALL SELECT c, x FROM c{r} WHERE c NOT IN (SELECT c FROM a{r}))")
+    return ", ".join(parts)
+
+
+@query("kmeanspp_seeds", f"""WITH {v.VECTORS}, {_seeds_sql(4)} SELECT c::int AS seed, d::int AS d, round(x, 6) + 0.0 AS x FROM (SELECT c, unnest(range(len(x))) AS d, unnest(x) AS x FROM c0)""")
 def _(spark, sf):
     rows, names = v.coordinates(spark, sf)
     seeds = cluster.kmeanspp_seeds(rows, "id", names, 4)
-    return spark.createDataFrame([(i, d, x) for i, s in enumerate(seeds) for d, x in enumerate(s)], "seed int, d int, x double")
+    return spark.createDataFrame([(i, d, x) for i, s in enumerate(seeds) for d, x in enumerate(s)], "seed int, d int, x double").withColumn("x", R6("x"))
 
 
 @query("lloyd_step", f"""WITH {NEAREST}, s AS (SELECT c, count(*) AS n, round(sum(d2), 6) AS sse FROM near GROUP BY 1) SELECT c AS center, n, sse, d::int AS d,
@@ -32,11 +58,12 @@ def _(spark, sf):
     return out.select("center", "n", R6("sse").alias("sse"), F.posexplode(F.array(*names)).alias("d", "mean")).withColumn("mean", R6("mean"))
 
 
-@query("lloyd_kmeans")
+@query("lloyd_kmeans", f"""WITH {v.VECTORS}, {v.LONG}, {_seeds_sql(4)}, {_lloyd_sql(15)} SELECT id, c::int AS center, (SELECT round(sum(d2), 5) FROM a14) AS objective
+       FROM {_near_sql('c15')}""")
 def _(spark, sf):
     rows, names = v.coordinates(spark, sf)
     centers, history = cluster.lloyd_kmeans(rows, "id", names, 4, max_iter=15)
-    return joins.nearest_center_join(rows, centers, names).select("id", "center", F.lit(history[-1]).alias("objective"))
+    return joins.nearest_center_join(rows, centers, names).select("id", "center", R6(F.lit(history[-1]), 5).alias("objective"))
 
 
 @query("kmeans_objective")
