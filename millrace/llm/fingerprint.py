@@ -6,7 +6,8 @@ the bin alone (optimal densification), so texts with the same filled bins borrow
 stored, as hex digits of four bits. Two bins agree by chance with probability ``2 ** -4``, which the likeness takes off.
 
 Defined results: null is the empty text; a text without words has the empty fingerprint, which is like itself (1.0) and unlike all
-others (0.0); a text of 1 to 4 words is one shingle.
+others (0.0); a text of 1 to 4 words is one shingle. Very long texts are one row's expression each; equal hashes are one shingle; repeated rows have equal
+fingerprints; an empty table gives no rows; extra columns are not looked at.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ places of anchor words are looked at: each posting of the word there votes for t
 all anchors of a phrase (or most of a notice's) meet are candidates, and a candidate counts when the template's key
 phrase stands word for word at its place.
 
-Defined results: null is the empty text; a text without words or templates has null places, empty labels and score 0.
+Defined results: null is the empty text; a text without words or templates has null places, empty labels and score 0. Very long texts are read whole; of equally rare words the
+first in order are anchors; repeated rows have results of their own; an empty table gives no rows; extra columns are not looked at.
 """
 
 from __future__ import annotations

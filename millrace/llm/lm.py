@@ -12,7 +12,8 @@ all chunks and answers each with the totals in the order it asked; the chunk the
 64-bit hashes. Both exchanges carry a distinct arc of a chunk once, so frequent pairs are no hot keys.
 
 Defined results: null text is the empty text, which is the end token alone; null doc_id counts as a training document; without training tokens
-base score and score are 0. Repeated rows are documents of their own. Extra columns are not looked at.
+base score and score are 0. Repeated rows are documents of their own, but equal ones share a chunk; a very long text lies in one chunk; equal likelihoods
+choose the smaller k; an empty table gives no rows. Extra columns are not looked at.
 """
 
 from __future__ import annotations
