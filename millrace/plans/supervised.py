@@ -161,10 +161,10 @@ def _(spark, sf):
 
 # --- boosting ----------------------------------------------------------------------------------------
 def _boost_sql(rounds: int, depth: int, source: str = "docs", margin: str = "0.0::double", grads: str | None = None, eta: float = 0.3,
-               features: tuple[str, ...] = ("f0", "f1", "f2")) -> str:
+               features: tuple[str, ...] = ("f0", "f1", "f2"), bins: int = 32) -> str:
     """CTEs of an unrolled fit on ``source (doc_id, y, features)``: ``m{r} (doc_id, m)`` holds the margins after r rounds, ``train`` says which
-    rows grow the trees. Cuts are the least value and 31 quantiles of a feature; a node may use those that begin a bin with rows of its own, and splits are the largest gain, then the first feature and cut."""
-    steps = f"(SELECT unnest([{', '.join(f'{i} / 32.0::double' for i in range(1, 32))}]))"
+    rows grow the trees. Cuts are the least value and ``bins - 1`` quantiles of a feature; a node may use those that begin a bin with rows of its own, and splits are the largest gain, then the first feature and cut."""
+    steps = f"(SELECT unnest([{', '.join(f'{i} / {bins}.0::double' for i in range(1, bins))}]))"
     cells = " UNION ALL ".join(f"SELECT doc_id, {j} AS f, {c} AS x, train FROM src" for j, c in enumerate(features))
     parts = [f"src AS (SELECT * FROM {source})", f"cells AS MATERIALIZED ({cells})",
              f"cuts AS MATERIALIZED (SELECT DISTINCT f, x AS t FROM (SELECT f, min(x) AS x FROM cells WHERE train GROUP BY 1 UNION ALL SELECT f, v[greatest(ceil(p * len(v)), 1)::int] "
@@ -268,7 +268,16 @@ def _(spark, sf):
     return model.predict(d, out="m").agg(F.count(F.lit(1)).alias("n"), R6(F.lit(model.history[-1]["train"])).alias("error"), R6(F.avg("m"), 5).alias("margin"))
 
 
-@query("newton_boost_multiclass")
+def _one_class_sql(c: int) -> str:
+    """One tree for class c; before the first round every class has probability 0.1."""
+    names = tuple(f"x[{j + 1}]" for j in range(64))
+    source = "(SELECT id AS doc_id, label, x, true AS train FROM vectors)"
+    grads = f"SELECT doc_id, 0.1::double - (label = {c})::int AS g, 0.18::double AS h FROM src"
+    return f"(WITH {_boost_sql(1, 3, source, '0.5::double', grads, features=names, bins=16)} SELECT doc_id AS id, {c} AS c, m FROM m1)"
+
+
+@query("newton_boost_multiclass", f"""WITH {v.VECTORS}, m AS MATERIALIZED ({' UNION ALL '.join(f'SELECT * FROM {_one_class_sql(c)}' for c in range(10))})
+       SELECT id, arg_max(c, (m, -c))::int AS pred FROM m GROUP BY 1""")
 def _(spark, sf):
     x = v.vectors(spark, sf).select("id", "label", *[F.col("x")[j].alias(f"x{j}") for j in range(64)])
     x = cut(x)
