@@ -6,6 +6,7 @@ numpy calls per block of text instead of a Python step per word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,16 +46,21 @@ def seed(*parts: int) -> np.uint64:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``BASE ** i`` and its inverse mod 2**64 for i up to n."""
-    if not _powers or len(_powers[0]) <= n:
-        size = max(n + 1, BLOCK_BYTES + 2)
-        up = np.full(size, np.uint64(BASE))
-        down = np.full(size, np.uint64(pow(BASE, -1, 1 << 64)))
-        up[0] = down[0] = 1
-        _powers[:] = [np.multiply.accumulate(up), np.multiply.accumulate(down)]
+    """``BASE ** i`` and its inverse mod 2**64 for i up to n; kept for blocks of the usual size, made anew for a longer text."""
+    if n > BLOCK_BYTES + 1:
+        return _powers_to(n + 1)
+    if not _powers:
+        _powers[:] = _powers_to(BLOCK_BYTES + 2)
     return _powers[0], _powers[1]
 
 
+def _powers_to(size: int) -> tuple[np.ndarray, np.ndarray]:
+    up = np.full(size, np.uint64(BASE))
+    down = np.full(size, np.uint64(pow(BASE, -1, 1 << 64)))
+    up[0] = down[0] = 1
+    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts end to end, and the n + 1 offsets; null is the empty text."""
     texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
@@ -73,6 +79,15 @@ def blocks(data: np.ndarray, off: np.ndarray, size: int = BLOCK_BYTES) -> Iterat
         j = max(i + 1, int(np.searchsorted(off, off[i] + size, "right")) - 1)
         yield i, j, data[off[i]: off[j]], off[i: j + 1] - off[i]
         i = j
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker serves task after task, and what one has freed would count against the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:

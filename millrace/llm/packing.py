@@ -7,12 +7,14 @@ rest, and every shorter document, is a seed or a neighbour: the longest unused o
 neighbours by score, and they fill the window. The one that does not fit is cut there, and its rest stays in
 the pool. What a shard has left at its end is cut into powers of two, so no sequence needs padding.
 
-Defined results: null text is the empty text, which has the end token alone; equal rows are separate documents; extra columns
-are not looked at. An empty table gives no pieces.
+Defined results: null text is the empty text, which has the end token alone; equal rows and rows of equal or null ``doc_id`` are separate
+documents; a very long text is tokenized as one block and held whole in the task that packs it; equal BM25 scores go by the order of the shard, which is that of
+the minimum hash and the id; extra columns are not looked at. An empty table gives no pieces.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from itertools import chain
 
@@ -25,7 +27,12 @@ from pyspark.sql import functions as F
 from millrace.llm import flat
 from millrace.session import cut
 
-CACHE_WORDS = 1_500_000
+# words whose ids a worker keeps, about 30 bytes each, and words that the tokenizer gets at once
+CACHE_WORDS = 1_200_000
+ENCODE_WORDS = 4_096
+# a term that more than this share of a shard's items have is scored as a dense column
+DENSE_SHARE = 1 / 8
+SEED_BLOCK = 128
 _tokenizers: dict[str, "Words"] = {}
 
 LETTER = np.zeros(256, bool)
@@ -43,6 +50,8 @@ class Words:
     """Token ids of words, cached by hash in sorted arrays."""
 
     def __init__(self, path: str):
+        # a task has one core, and threads of the tokenizer keep memory of their own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -53,7 +62,7 @@ class Words:
         self._empty()
 
     def _empty(self) -> None:
-        self.keys, self.first, self.size, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.keys, self.first, self.size, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint32)
 
     @classmethod
     def of(cls, path: str) -> "Words":
@@ -70,15 +79,18 @@ class Words:
                 self._empty()
                 return self.places(hashes, raw, start, end)
             texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[missing].tolist(), end[missing].tolist())]
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            size = np.fromiter(map(len, lists), np.int64, len(lists))
-            new = np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum()))
+            sizes, new = [], []
+            for lo in range(0, len(texts), ENCODE_WORDS):
+                lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts[lo: lo + ENCODE_WORDS], add_special_tokens=False)]
+                sizes.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+                new.append(np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes[-1].sum())))
+            size, new = np.concatenate(sizes), np.concatenate(new)
             first = len(self.pool) + np.cumsum(size) - size
             where = at[missing]
             self.keys, self.first, self.size = np.insert(self.keys, where, hashes[missing]), np.insert(self.first, where, first), np.insert(self.size, where, size)
             self.pool = np.concatenate([self.pool, new])
             at = np.searchsorted(self.keys, hashes)
-        return self.first[at], self.size[at]
+        return self.first[at].astype(np.int64), self.size[at].astype(np.int64)
 
 
 def pieces_of_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,27 +169,43 @@ def token_table(docs: DataFrame, path: str, end_id: int, kind: str) -> DataFrame
 
 
 class Index:
-    """BM25 inverted index of the items of a shard; terms in more than ``common`` of all documents are left out."""
+    """BM25 inverted index of the items of a shard, with every term at its idf over all documents.
+
+    Postings of terms that many items have form a dense matrix, of at most ``1 / DENSE_SHARE`` times the postings' size, which scores a block
+    of seeds in one product; the others are added up posting by posting.
+    """
 
     def __init__(self, row: np.ndarray, token: np.ndarray, n_items: int, idf: np.ndarray, k1: float, b: float):
-        keep = idf[np.minimum(token, len(idf) - 1)] > 0
         size = np.bincount(row, minlength=n_items)
-        key, tf = np.unique(token[keep].astype(np.int64) * n_items + row[keep], return_counts=True)
-        term, self.item = key // n_items, key % n_items
+        key, tf = np.unique(token.astype(np.int64) * n_items + row, return_counts=True)
+        term, item = key // n_items, key % n_items
         norm = k1 * (1 - b + b * size / max(size.mean(), 1))
-        self.weight = idf[term] * tf * (k1 + 1) / (tf + norm[self.item])
+        weight = idf[term] * tf * (k1 + 1) / (tf + norm[item])
+        count = np.bincount(term, minlength=len(idf))
+        column = np.cumsum(count > DENSE_SHARE * n_items) - 1
+        often = (count > DENSE_SHARE * n_items)[term]
+        self.dense = np.zeros((n_items, int(column[-1]) + 1 if len(column) else 0), np.float32)
+        self.dense[item[often], column[term[often]]] = weight[often]
+        term, self.item, self.weight = term[~often], item[~often], weight[~often]
         self.first = np.searchsorted(term, np.arange(len(idf) + 1))
         order = np.argsort(self.item, kind="stable")
         self.terms, self.at, self.n = term[order], np.searchsorted(self.item[order], np.arange(n_items + 1)), n_items
-
-    def scores(self, seed: int) -> np.ndarray:
+        self.ready: dict[int, np.ndarray] = {}
+
+    def scores(self, seed: int, following: list[int]) -> np.ndarray:
+        """The score of every item for the seed; the dense part is computed for the seeds that may follow too."""
+        if seed not in self.ready:
+            block = [seed, *following]
+            part = (self.dense[block] > 0).astype(np.float32) @ self.dense.T
+            self.ready = dict(zip(block, part))
         terms = self.terms[self.at[seed]: self.at[seed + 1]]
         lo, size = self.first[terms], self.first[terms + 1] - self.first[terms]
         end = np.cumsum(size)
+        dense = self.ready.pop(seed).astype(np.float64)
         if not len(end):
-            return np.zeros(self.n)
+            return dense
         where = np.repeat(lo - end + size, size) + np.arange(end[-1])
-        return np.bincount(self.item[where], self.weight[where], self.n)
+        return dense + np.bincount(self.item[where], self.weight[where], self.n)
 
 
 def pack_shard(sizes: np.ndarray, ids: np.ndarray, window: int, idf: np.ndarray, k1: float = 1.2, b: float = 0.75) -> list[tuple[int, int, int, int, int]]:
@@ -219,7 +247,7 @@ def pack_shard(sizes: np.ndarray, ids: np.ndarray, window: int, idf: np.ndarray,
         free = window - int(rest[seed])
         take(seed, int(rest[seed]))
         if free:
-            score = index.scores(seed)
+            score = index.scores(seed, [i for i in order[at + 1: at + SEED_BLOCK] if rest[i]])
             score[rest == 0] = -1
             ranked = np.argsort(-score, kind="stable")
             ranked = ranked[: np.searchsorted(-score[ranked], 0.5, "left")]
@@ -244,8 +272,7 @@ def pack_shard(sizes: np.ndarray, ids: np.ndarray, window: int, idf: np.ndarray,
     return out
 
 
-def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, shard_tokens: int = 1 << 21, part_tokens: int = 1 << 23,
-         common: float = 0.1) -> DataFrame:
+def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, shard_tokens: int = 1 << 21, part_tokens: int = 1 << 23) -> DataFrame:
     """``(doc_id, start, length, ids, doc_tokens, sequence_id, offset)``: every token of ``docs`` in exactly one piece.
 
     ``ids`` holds little-endian unsigned 32-bit ids; ``window`` is a power of two.
@@ -256,13 +283,13 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, shard_
     wide = np.dtype(kind).itemsize
     table = cut(token_table(docs, path, end_id, kind))
     total, n_docs = table.agg(F.sum("n"), F.count(F.lit(1))).first()
-    # bounded by the vocabulary
+    # bounded by the vocabulary; a term of many documents has a small idf, never none
     df = table.where("terms is not null").select(F.explode(F.arrays_zip("terms", "df")).alias("x")).groupBy("x.terms").agg(
         F.sum("x.df").alias("df")).toArrow()
     idf = np.zeros(int(df["terms"].to_numpy().max()) + 1 if len(df) else 1)
     if len(df):
         n = df["df"].to_numpy()
-        idf[df["terms"].to_numpy()] = np.where(n > common * n_docs, 0, np.log1p((n_docs - n + 0.5) / (n + 0.5)))
+        idf[df["terms"].to_numpy()] = np.log1p((n_docs - n + 0.5) / (n + 0.5))
     parts = max(1, -(-(total or 0) // part_tokens))
     rows = table.select("doc_id", "near", "ids").repartitionByRange(parts, "near", "doc_id").sortWithinPartitions("near", "doc_id")
 

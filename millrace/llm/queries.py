@@ -38,8 +38,14 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# rows of long texts that Spark hands to a Python task at once, where the session has Spark's own setting
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     ship_package(spark)
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
