@@ -12,7 +12,8 @@ for each set and node.
 
 Defined results: null text is the empty text; a text without words has no shingles and no links; a
 text of 1 to 4 words is one shingle; rows of equal shingles are copies, repeated rows and rows of
-equal ``doc_id`` included; null ``doc_id`` is allowed. Other columns of the input are not looked at.
+equal ``doc_id`` included; null ``doc_id`` is allowed; a very long text is one set, held whole where it is compared; equal sizes and ids are in order of the class; an empty
+table gives no rows. Other columns of the input are not looked at. Texts without words are no copies of each other.
 """
 
 from __future__ import annotations
@@ -199,7 +200,7 @@ def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(), np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())
 
 
-def _common(values: np.ndarray, row: np.ndarray, n: int, left: np.ndarray, right: np.ndarray, columns: int = 4096) -> np.ndarray:
+def _common(values: np.ndarray, row: np.ndarray, n: int, left: np.ndarray, right: np.ndarray, columns: int = 1024) -> np.ndarray:
     """How many values each row of ``left`` shares with each of ``right``; a row has each value once. Takes ``columns`` values at a time."""
     out = np.zeros((len(left), len(right)), np.float32)
     _, at, count = np.unique(values, return_inverse=True, return_counts=True)
@@ -237,11 +238,11 @@ def links(group: pa.Table, threshold: float) -> pa.RecordBatch | None:
     run = homes[0] & int(RUN_MASK)
     for r in np.unique(run):
         shared += _common(homes[0][run == r], homes[1][run == r], n, left, right) > 0
-    root = np.arange(n)
+    root = np.arange(n, dtype=np.int32)
     while True:
         low = root.copy()
-        low[left] = np.minimum(low[left], np.where(similar, low[right][None, :], n).min(1))
-        low[right] = np.minimum(low[right], np.where(similar, low[left][:, None], n).min(0))
+        low[left] = np.minimum(low[left], np.where(similar, low[right][None, :], np.int32(n)).min(1))
+        low[right] = np.minimum(low[right], np.where(similar, low[left][:, None], np.int32(n)).min(0))
         if (low == root).all():
             break
         root = low
