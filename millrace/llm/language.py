@@ -188,9 +188,12 @@ def training_texts(docs: DataFrame, per_language: int, max_train: int, max_langu
     if not counts:
         return rows.select("lang", "text").limit(0)
     share = max(1, min(per_language, max_train // len(counts)))
-    known = docs.sparkSession.createDataFrame([(r["lang"],) for r in counts], "lang string")
-    place = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("key", F.lit(7)), "key"))
-    picked = distinct.withColumn("place", place).where(F.col("place") <= share).join(F.broadcast(known), "lang", "left_semi").select(
+    # rows above four times a language's share of hashes are passed over before they are ranked, so no language fills a task
+    known = docs.sparkSession.createDataFrame([(r["lang"], 4.0 * share / r["count"]) for r in counts], "lang string, bar double")
+    draw = F.xxhash64("key", F.lit(7))
+    distinct = distinct.join(F.broadcast(known), "lang").where((F.shiftrightunsigned(draw, 11) / float(1 << 53)) < F.col("bar"))
+    place = F.row_number().over(W.partitionBy("lang").orderBy(F.shiftrightunsigned(draw, 11), "key"))
+    picked = distinct.withColumn("place", place).where(F.col("place") <= share).select(
         "lang", "key", F.col("doc_id").alias("own"))
     # at most max_train rows of three numbers
     found = rows.join(F.broadcast(picked), ["lang", "key"]).where(F.col("doc_id").eqNullSafe(F.col("own")))
