@@ -9,7 +9,6 @@ from millrace.operators import als, ctr, factor, metrics, similarity, simjoin
 from millrace.plans import views as v
 from millrace.plans.preparation import _EUCLID, _TOPN, _USER_PAIRS
 from millrace.plans.registry import query
-from millrace.session import cut
 
 R6 = v.rnd
 SUMMARY = "SELECT a, count(*) AS partners, round(sum(sim), 5) + 0.0 AS total, round(max(sim), 6) + 0.0 AS best FROM {} GROUP BY a"
@@ -187,7 +186,7 @@ def _(spark, sf):
 
 
 def ctr_rows(spark, sf):
-    events = cut(v.clicks(spark, sf))
+    events = v.clicks(spark, sf)
     return ctr.ctr_features(events, v.profiles(spark, sf, events), v.articles(spark, sf))
 
 
