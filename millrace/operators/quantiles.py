@@ -34,8 +34,9 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]
 
 
 def _quantiles_by_rank(rows: DataFrame, by: list[str], probs: list[float], group_values: int) -> DataFrame:
-    rows = rows.withColumn("_all", F.lit(0))
-    keys = ["_all", *by]
+    if not by:
+        rows = rows.withColumn("_all", F.lit(0))
+    keys = list(by) or ["_all"]
     work = cut(rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")))
     sizes = work.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     spec = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
@@ -76,7 +77,7 @@ def _quantiles_by_rank(rows: DataFrame, by: list[str], probs: list[float], group
     ends = ends.withColumn("_q", F.col("a") + (F.col("b") - F.col("a")) * (F.col("_pos") - F.floor("_pos")))
     out = ends.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"q{i}")
                                     for i in range(len(probs))])
-    return out.drop("_all")
+    return out if by else out.drop("_all")
 
 
 def positions(df: DataFrame, order: list, out: str = "_pos") -> DataFrame:

@@ -49,7 +49,7 @@ def describe_table(df: DataFrame, cols: list[str]) -> DataFrame:
     quartiles = dict(ready.agg(*[F.percentile(c, probs).alias(c) for c in few]).first().asDict()) if few else {}
     for c in cols:
         if c not in few:
-            quartiles[c] = tuple(exact_quantiles(ready.select(F.lit(0).alias("_all"), F.col(c).alias("_x")), ["_all"], "_x", [0.25, 0.5, 0.75]).select("q0", "q1", "q2").first())
+            quartiles[c] = tuple(exact_quantiles(ready, [], c, [0.25, 0.5, 0.75], GROUP_VALUES).select("q0", "q1", "q2").first())
     rows = [(c, *[found[f"{c} {name}"] for name in list(parts)[:-1]], *quartiles[c]) for c in cols]
     return df.sparkSession.createDataFrame(rows, "column string, n long, mean double, std double, min double, max double, q25 double, q50 double, q75 double")
 

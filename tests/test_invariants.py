@@ -109,6 +109,16 @@ def test_quantiles_by_rank_equal_percentile(spark):
     assert np.allclose(a["hot"], want)
 
 
+def test_describe_table_narrows_columns_of_many_values_by_rank(spark, monkeypatch):
+    rows = [(float(x), float(y)) for x, y in zip(rng.normal(size=600).round(3), rng.integers(0, 5, 600))]
+    df = spark.createDataFrame(rows + [(None, 1.0)], "wide double, narrow double")
+    want = {r["column"]: tuple(r)[1:] for r in stats.describe_table(df, ["wide", "narrow"]).collect()}
+    monkeypatch.setattr(stats, "GROUP_VALUES", 20)
+    found = {r["column"]: tuple(r)[1:] for r in stats.describe_table(df, ["wide", "narrow"]).collect()}
+    assert found.keys() == want.keys() and all(np.allclose(found[c], want[c]) for c in want)
+    assert tuple(quantiles.exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], "wide", [0.5], 20).first()) == pytest.approx((0, want["wide"][6]))
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_sums_in_buckets(spark, descending):
     values = rng.integers(0, 50, 400) / 10
