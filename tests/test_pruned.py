@@ -202,3 +202,23 @@ def test_block_als_matches_numpy_and_stops(spark):
     settled = als.BlockALS(rank=2, reg=0.05, max_iter=30, tol=0.02).fit(df)
     assert settled.converged and len(settled.history) < 30
     assert als.BlockALS(rank=2).fit(df.limit(0)).history == []
+
+
+def test_top_items_write_no_row_for_each_user_and_block(spark, factors, monkeypatch):
+    monkeypatch.setattr(factor, "MIN_BLOCK", 20)
+    u, i, seen = factors
+    u = np.random.default_rng(8).standard_normal((2000, 5))
+    i = i / np.linalg.norm(i, axis=1)[:, None]
+    written = []
+
+    def counted(df, *args):
+        out = cut(df, *args)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(factor, "cut", counted)
+    marks = spark.createDataFrame(sorted(seen), "u long, i long")
+    found = factor.PrunedTopN(vectors(spark, u, "u"), vectors(spark, i, "i"), marks, 3, factor.dot_score, factor.dot_surplus)
+    assert listed(found.rows) == brute_topn(u @ i.T, seen, 3)
+    # items of one length leave much to be met
+    assert found.visited > 10 * len(u) and max(written) <= 3 * len(u)
