@@ -1,11 +1,14 @@
 """Pruned joins and searches against brute force: same rows, and work that does not grow with the square of a hot group."""
 
 import hashlib
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from millrace.operators import als, factor, nearest, simjoin, tree
+from millrace.operators import als, factor, nearest, pairs, simjoin, tree
+from millrace.session import cut
 
 
 def dense(rows):
@@ -222,3 +225,12 @@ def test_top_items_write_no_row_for_each_user_and_block(spark, factors, monkeypa
     assert listed(found.rows) == brute_topn(u @ i.T, seen, 3)
     # items of one length leave much to be met
     assert found.visited > 10 * len(u) and max(written) <= 3 * len(u)
+
+
+def test_pairs_are_summed_where_their_rows_are(spark):
+    rng = np.random.default_rng(9)
+    rows = spark.createDataFrame([(int(u), int(i), 1.0) for u, i in {tuple(x) for x in rng.integers(0, 40, (300, 2))}], "u long, i long, r double")
+    sums = pairs.pair_moments(rows, "u", "i", "r", keep=["n"]).groupBy("a").agg(F.sum("n").alias("n"))
+    dealt = re.findall(r"Exchange hashpartitioning\((.*?)\), ", sums._jdf.queryExecution().executedPlan().toString())
+    # by cell, by feature and by entity, never by pair or by entity once more
+    assert sum("a#" in d for d in dealt) == 1 and not any("b#" in d for d in dealt)
