@@ -156,13 +156,14 @@ def compare(leaves: DataFrame, sets: DataFrame, threshold: float, small: int, ti
     # leaves with the same members are one leaf
     few = leaves.where(F.col("n") <= small).groupBy("node").agg(F.array_sort(F.collect_list("cls")).alias("members"))
     few = few.groupBy("members").agg(F.min("node").alias("node")).select("node", F.explode("members").alias("cls"))
-    few = few.select("node", "cls", F.lit(0).alias("tile"), F.lit(0).alias("a"), F.lit(0).alias("b"))
-    many = leaves.where(F.col("n") > small).withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
-    many = many.withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    many = many.select("node", "cls", "tile", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"))
+    few = few.select("node", "cls", F.lit(1).alias("tiles"))
+    many = leaves.where(F.col("n") > small).select("node", "cls", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
     homes = leaves.groupBy("cls").agg(F.array_sort(F.collect_set("node")).alias("homes"))
+    # sets are looked up once for each node, before they are dealt to the pairs of tiles
     rows = few.unionByName(many).join(homes, "cls").join(sets, "cls")
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = rows.withColumns({"a": F.least("tile", "other"), "b": F.greatest("tile", "other")})
     rows = rows.withColumn("part", F.xxhash64("node", "a", "b"))
     rows = rows.repartition("part").sortWithinPartitions("part", "node", "a", "b")
 
