@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.operators.pairs import both_ways
+from millrace.operators.pairs import both_ways, light_terms
 from millrace.operators.windows import topn_per_group
 from millrace.session import cut
 
@@ -61,11 +61,10 @@ class UnitRows:
         self.mass = cut(mass.groupBy("e").agg(F.max("s").alias("s"), F.max("signed").alias("signed")))
         self.any_heavy = not self.heavy.isEmpty()
 
-    def light_pairs(self) -> DataFrame:
-        """``(a, b, dot)`` with ``a < b``: sums over common light features."""
-        x, y = self.light.alias("x"), self.light.alias("y")
-        met = x.join(y, (F.col("x.f") == F.col("y.f")) & (F.col("x.e") < F.col("y.e")))
-        return met.groupBy(F.col("x.e").alias("a"), F.col("y.e").alias("b")).agg(F.sum(F.col("x.x") * F.col("y.x")).alias("dot"))
+    def light_pairs(self, both: bool = False) -> DataFrame:
+        """``(a, b, dot)`` with ``a < b``, or in both directions: sums over common light features, dealt by ``a``."""
+        rows = self.light.select("e", "f", F.col("x").alias("v"))
+        return light_terms(rows, ["sab"], both).groupBy("a", "b").agg(F.sum("sab").alias("dot"))
 
     def with_reach(self, pairs: DataFrame) -> DataFrame:
         """Pairs with ``most``, which their similarity cannot exceed."""
@@ -142,7 +141,7 @@ def cosine_partners_above(ratings: DataFrame, bar: float, axis: str = "user", he
 def _class_topn(rows: UnitRows, n: int) -> tuple[DataFrame, DataFrame]:
     """``(a, b, sim)``: the n most similar other classes of each class; and the candidates that were verified for it."""
     order = [F.round("sim", 9).desc(), F.asc("b")]
-    light = both_ways(rows.light_pairs())
+    light = rows.light_pairs(both=True)
     if not rows.any_heavy:
         sims = light.withColumnRenamed("dot", "sim")
         return topn_per_group(sims, ["a"], order, n, "_r").drop("_r"), sims
