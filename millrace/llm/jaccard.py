@@ -89,18 +89,21 @@ def set_table(docs: DataFrame, wanted: DataFrame, width: int, repeated_ids: bool
 
 
 def split(rows: DataFrame, sets: DataFrame, depth: int, threshold: float) -> DataFrame:
-    """``(node, cls)`` of the children of each ``(node, cls)``."""
+    """``(node, cls, size)`` of the children of each ``(node, cls, size)``. A set is looked up once, with all nodes that it is in."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("grams").flatten().to_numpy().view(np.uint64)
             ends = np.concatenate([[0], np.cumsum(batch.column("grams").value_lengths().to_numpy())])
-            sets_ = [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
-            node = batch.column("node").to_numpy().view(np.uint64)
-            row, child = chosen(sets_, node, flat.seed(2, depth), threshold)
+            node = batch.column("nodes").flatten().to_numpy().view(np.uint64)
+            of = np.repeat(np.arange(batch.num_rows), batch.column("nodes").value_lengths().to_numpy())
+            row, child = chosen([values[ends[k]:ends[k + 1]] for k in of], node, flat.seed(2, depth), threshold)
             child = (child & ~RUN_MASK) | (node[row] & RUN_MASK)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), batch.column("cls").take(pa.array(row))], ["node", "cls"])
+            at = pa.array(of[row])
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), batch.column("cls").take(at), batch.column("size").take(at)],
+                                             ["node", "cls", "size"])
 
-    return rows.join(sets, "cls").select("node", "cls", "grams").mapInArrow(task, "node long, cls binary")
+    held = rows.groupBy("cls", "size").agg(F.collect_list("node").alias("nodes"))
+    return held.join(sets, "cls").select("nodes", "cls", "size", "grams").mapInArrow(task, "node long, cls binary, size int")
 
 
 def comparable(level: DataFrame, threshold: float, small: int) -> DataFrame:
@@ -133,7 +136,7 @@ def buckets(first: DataFrame, classes: DataFrame, docs: DataFrame, threshold: fl
         large = level.where(F.col("n") > small).select("node", "cls", "size")
         if large.isEmpty():
             return _union(leaves), sets
-        level = counted(split(large, sets, depth, threshold).join(classes.select("cls", "size"), "cls"))
+        level = counted(split(large, sets, depth, threshold))
         leaves.append(level.where(F.col("n") <= small))
     leaves.append(level.where(F.col("n") > small))
     return _union(leaves), sets
@@ -159,8 +162,9 @@ def compare(leaves: DataFrame, sets: DataFrame, threshold: float, small: int, ti
     few = few.select("node", "cls", F.lit(1).alias("tiles"))
     many = leaves.where(F.col("n") > small).select("node", "cls", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
     homes = leaves.groupBy("cls").agg(F.array_sort(F.collect_set("node")).alias("homes"))
-    # sets are looked up once for each node, before they are dealt to the pairs of tiles
-    rows = few.unionByName(many).join(homes, "cls").join(sets, "cls")
+    # a set is looked up once, with all nodes that it is in, before it is dealt to nodes and pairs of tiles
+    held = few.unionByName(many).groupBy("cls").agg(F.collect_list(F.struct("node", "tiles")).alias("at"))
+    rows = held.join(homes, "cls").join(sets, "cls").withColumn("at", F.explode("at")).select("*", "at.*").drop("at")
     rows = rows.withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     rows = rows.withColumns({"a": F.least("tile", "other"), "b": F.greatest("tile", "other")})

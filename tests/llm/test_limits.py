@@ -115,3 +115,20 @@ def test_cumulative_link_likelihood_and_its_slopes():
         moved = cuts.copy()
         moved[k] += 1e-6
         assert abs((brute(score, moved) - value) / 1e-6 - by_cut[k]) < 1e-5
+
+
+def test_sets_are_looked_up_once_for_all_their_nodes(spark):
+    grams = flat.mix(np.arange(40, dtype=np.uint64))
+    sets = spark.createDataFrame([(bytearray(b"a"), grams.view(np.int64).tolist())], "cls binary, grams array<long>")
+    nodes = [32 * k + k % 8 for k in range(50)]
+    rows = spark.createDataFrame([(k, bytearray(b"a"), 40) for k in nodes], "node long, cls binary, size int")
+    out = jaccard.split(rows, sets, 1, 0.8)
+    want = Counter()
+    for k in nodes:
+        _, child = jaccard.chosen([grams], np.array([k], np.uint64), flat.seed(2, 1), 0.8)
+        want.update((((child & ~jaccard.RUN_MASK) | np.uint64(k % 8)).view(np.int64)).tolist())
+    got = out.collect()
+    assert Counter(r["node"] for r in got) == want and {(bytes(r["cls"]), r["size"]) for r in got} == {(b"a", 40)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # rows are grouped by class before they meet the sets
+    assert "collect_list" in plan and plan.index("Join") < plan.index("collect_list")
