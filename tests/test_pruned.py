@@ -168,6 +168,18 @@ def test_knn_join_by_tree_and_by_cells(spark, clustered):
     assert nearest.knn_join(few.limit(0), few, 3, tree_rows=100).count() == 0
 
 
+def test_weights_of_a_user_and_channel_are_picked_once(spark, sf):
+    from millrace.plans.registry import QUERIES
+    import millrace.plans.preparation  # noqa: F401
+    df = QUERIES["map_topk_weights_by_prefix"](spark, sf)
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    # the map is filtered below the join with the events, not on each of their rows
+    joins = [k for k, line in enumerate(plan) if "Join" in line]
+    picks = [k for k, line in enumerate(plan) if "map_filter" in line.lower() or "mapfilter" in line.lower()]
+    assert picks and min(picks) > min(joins)
+    assert df.count() == spark.read.parquet(f"{sf}/events.parquet").count()
+
+
 # --- block ALS ------------------------------------------------------------------------------------
 def numpy_als(rows, rank, reg, rounds):
     """The same rounds with dense normal equations, from the same start."""
