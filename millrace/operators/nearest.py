@@ -3,7 +3,8 @@
 Points are put into cells around a bounded number of pivots. The triangle inequality
 tells which cells can hold an answer for a query, so a query is only sent there. A full
 cell is divided into blocks, and one task compares a block of queries with a block of
-points, keeping k rows per query. Exact copies are looked up once.
+points. For the k nearest, neighbouring cells make up shards: a query is sent once to each shard that it
+has to look into, and its bar rises in the task from cell to cell. Exact copies are looked up once.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from millrace.session import cut, spread
 MAX_PIVOTS = 512
 CELL_ROWS = 512       # points per cell aimed at, up to MAX_PIVOTS cells
 BLOCK = 2_048
+SHARD = 32_768        # points, and queries, that a task of the k nearest holds
+TREE_ROWS = 4_194_304   # points that one level of pivots serves
+STEP = 1_024          # queries compared at a time
 SLACK = 1e-9
 
 
@@ -84,24 +88,83 @@ class Cells:
                 self.kth[row["cell"]] = row["kd"]
         self.apart = np.sqrt(squared_distances(self.pivots, self.pivots))
 
+    def home(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distance of each row to all pivots, the nearest one and the distance to it."""
+        d = np.sqrt(squared_distances(x, self.pivots))
+        near = d.argmin(axis=1)
+        return d, near, d[np.arange(len(d)), near]
+
+    def bounds(self, d: np.ndarray, near: np.ndarray, gap: np.ndarray, cells: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """What a point of each of the cells, whose pivots are ``d`` away, is away from each row at least."""
+        with np.errstate(divide="ignore", invalid="ignore"):
+            plane = (d * d - (gap * gap)[:, None]) / (2 * self.apart[near][:, cells])
+        return np.maximum(d - self.radius[cells][None, :], np.where(np.isfinite(plane), plane, 0.0))
+
+    def shards(self, rows: int) -> np.ndarray:
+        """The shard of each cell: cells in a chain of near pivots, cut where the next one would pass ``rows`` points."""
+        shard, left, at, held, number = np.zeros(len(self.pivots), "int64"), set(range(len(self.pivots))), 0, 0, 0
+        while left:
+            left.remove(at)
+            if held and held + self.count[at] > rows:
+                held, number = 0, number + 1
+            held += int(self.count[at])
+            shard[at] = number
+            if left:
+                rest = np.fromiter(left, "int64")
+                at = int(rest[self.apart[at][rest].argmin()])
+        return shard
+
     def visits(self, eps: float | None):
-        """UDF: the cells that may hold a neighbour within ``eps`` (or one of the k nearest)."""
-        pivots, radius, kth, apart, used = self.pivots, self.radius, self.kth, self.apart, self.count > 0
+        """UDF: the cells that may hold a neighbour within ``eps``."""
+        shape, used = self.shape(), self.count > 0
 
         @F.pandas_udf("array<int>")
         def udf(x: pd.Series) -> pd.Series:
-            d = np.sqrt(squared_distances(stack(x), pivots))
-            home = d.argmin(axis=1)
-            limit = np.full(len(d), eps) if eps is not None else (d + kth[None, :]).min(axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                plane = (d * d - (d * d)[np.arange(len(d)), home][:, None]) / (2 * apart[home])
-            bound = np.maximum(d - radius[None, :], np.where(np.isfinite(plane), plane, 0.0))
-            go = (bound <= limit[:, None] + SLACK) & used[None, :]
+            go = (shape.bounds(*shape.home(stack(x))) <= eps + SLACK) & used[None, :]
             return pd.Series([np.flatnonzero(g).astype("int32") for g in go])
 
         return udf
 
-    def blocks(self, queries: DataFrame, eps: float | None, block: int):
+    def shape(self) -> Cells:
+        """The same without its points, to go to tasks."""
+        out = object.__new__(Cells)
+        out.__dict__.update({k: v for k, v in self.__dict__.items() if k != "points"})
+        return out
+
+    def tiles(self, queries: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+        """Queries ``(id, x, bar, near, gap)`` and points ``(id, x, cell)`` keyed by ``(shard, sub, chunk)``; a query stands once for each
+        shard (and part of a shard of one large cell) that may hold one of its k nearest."""
+        cores = queries.sparkSession.sparkContext.defaultParallelism
+        n = int(self.count.sum())
+        # small inputs are cut finer, so that every core has work
+        rows = min(rows, max(256, math.ceil(n / math.sqrt(2 * cores))))
+        shard, shape, used = self.shards(rows), self.shape(), self.count > 0
+        sizes = np.bincount(shard, self.count)
+
+        @F.pandas_udf("struct<bar:double,near:int,gap:double,shards:array<int>>")
+        def reach(x: pd.Series) -> pd.DataFrame:
+            d, near, gap = shape.home(stack(x))
+            bar = (d + shape.kth[None, :]).min(axis=1)
+            go = (shape.bounds(d, near, gap) <= bar[:, None] + SLACK) & used[None, :]
+            return pd.DataFrame({"bar": bar, "near": near.astype("int32"), "gap": gap, "shards": [np.unique(shard[g]).astype("int32") for g in go]})
+
+        sent = cut(spread(queries, "id").select("id", "x", reach("x").alias("r")).select("id", "x", "r.bar", "r.near", "r.gap", "r.shards"))
+        load = {r["shard"]: r["n"] for r in sent.select(F.explode("shards").alias("shard")).groupBy("shard").agg(
+            F.count(F.lit(1)).alias("n")).collect()}
+        of_cell = F.array(*[F.lit(int(k)) for k in shard])
+        subs = F.array(*[F.lit(max(1, math.ceil(int(c) / rows))) for c in sizes])
+        chunks = F.array(*[F.lit(max(1, math.ceil(load.get(k, 0) / rows))) for k in range(len(sizes))])
+
+        def place(df: DataFrame, own: str, own_n, other: str, other_n):
+            return df.withColumns({
+                own: F.pmod(F.xxhash64("id"), F.element_at(own_n, F.col("shard") + 1)).cast("int"),
+                other: F.explode(F.sequence(F.lit(0), F.element_at(other_n, F.col("shard") + 1) - 1))})
+
+        points = self.points.select("id", "x", "cell", F.element_at(of_cell, F.col("cell") + 1).alias("shard"))
+        left = sent.select("id", "x", "bar", "near", "gap", F.explode("shards").alias("shard"))
+        return place(left, "chunk", chunks, "sub", subs), place(points, "sub", subs, "chunk", chunks)
+
+    def blocks(self, queries: DataFrame, eps: float, block: int):
         """Queries and points keyed by ``(cell, sub, chunk)``: blocks against blocks of bounded size."""
         probes = cut(spread(queries, "id").select("id", "x", F.explode(self.visits(eps)("x")).alias("cell")))
         load = {r["cell"]: r["n"] for r in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -120,6 +183,59 @@ class Cells:
         return place(probes, "chunk", chunks, "sub", subs), points
 
 
+def _k_in_shard(shape: Cells, q: pd.DataFrame, p: pd.DataFrame, k: int) -> pd.DataFrame:
+    """``(qid, cid, d2)``: the k nearest of the points ``(id, x, cell)`` to each query ``(id, x, bar, near, gap)``, none beyond its bar.
+
+    Cells come in the order of their bounds for the slice of queries, and a cell is left out for those whose bar it cannot reach.
+    """
+    p = p.sort_values(["cell", "id"])
+    pid, points, cell = p["id"].to_numpy(), stack(p["x"]), p["cell"].to_numpy()
+    cells, start = np.unique(cell, return_index=True)
+    ends = [*start.tolist(), len(cell)]
+    out = []
+    qid, x, bars = q["id"].to_numpy(), stack(q["x"]), q["bar"].to_numpy()
+    bounds = shape.bounds(np.sqrt(squared_distances(x, shape.pivots[cells])), q["near"].to_numpy(), q["gap"].to_numpy(), cells)
+    # queries that are near each other can leave out the same cells
+    order = np.argsort(bounds.argmin(axis=1), kind="stable")
+    for lo in range(0, len(order), STEP):
+        rows = order[lo: lo + STEP]
+        a, low, bar2 = x[rows], bounds[rows], (bars[rows] + SLACK) ** 2
+        best = (np.zeros(0, "int64"), np.zeros(0), np.zeros(0, "int64"))   # row, squared distance, id
+        waiting = list(np.argsort(low.mean(axis=0), kind="stable"))
+        while waiting:
+            # small cells are taken together
+            taken, held = [], 0
+            while waiting and (not taken or held + ends[waiting[0] + 1] - ends[waiting[0]] <= STEP):
+                c = waiting.pop(0)
+                taken.append(c)
+                held += ends[c + 1] - ends[c]
+            go = np.flatnonzero((low[:, taken].min(axis=1) <= np.sqrt(bar2) + SLACK))
+            if not len(go):
+                continue
+            at = np.concatenate([np.arange(ends[c], ends[c + 1]) for c in taken])
+            for s in range(0, len(at), 4 * STEP):
+                part = at[s: s + 4 * STEP]
+                b = points[part]
+
+                def limit(rough, mine=bar2[go][:, None]):
+                    if rough.shape[1] <= k or np.count_nonzero(rough <= mine) <= 4 * k * len(rough):
+                        return mine
+                    return np.minimum(mine, np.partition(rough, k - 1, axis=1)[:, k - 1][:, None])
+
+                r, c, d2 = candidates(a[go], b, limit)
+                row = np.concatenate([best[0], go[r]])
+                dist, ids = np.concatenate([best[1], d2]), np.concatenate([best[2], pid[part[c]]])
+                first = np.lexsort((ids, dist, row))
+                row, dist, ids = row[first], dist[first], ids[first]
+                place = np.arange(len(row)) - np.searchsorted(row, row, side="left")
+                keep = place < k
+                best = row[keep], dist[keep], ids[keep]
+                full = place == k - 1
+                bar2[row[full]] = np.minimum(bar2[row[full]], dist[full])
+        out.append(pd.DataFrame({"qid": qid[rows[best[0]]], "cid": best[2], "d2": best[1]}))
+    return pd.concat(out, ignore_index=True)
+
+
 def _k_smallest(qid: np.ndarray, pid: np.ndarray, a: np.ndarray, b: np.ndarray, k: int) -> pd.DataFrame:
     if len(b) > k:
         q, p, dist = candidates(a, b, lambda d: np.partition(d, k - 1, axis=1)[:, k - 1][:, None])
@@ -134,7 +250,7 @@ def _k_smallest(qid: np.ndarray, pid: np.ndarray, a: np.ndarray, b: np.ndarray,
 
 
 def knn_join(queries: DataFrame, points: DataFrame, k: int, exclude_self: bool = False, pivots: int | None = None,
-             block: int = BLOCK, tree_rows: int = MAX_PIVOTS * CELL_ROWS) -> DataFrame:
+             block: int = SHARD, tree_rows: int = TREE_ROWS) -> DataFrame:
     """``(qid, cid, dist, rank)``: the k nearest points of each query, ties to the lower id.
 
     Both inputs are ``(id, x)`` with x an array of doubles. ``exclude_self`` leaves out the
@@ -166,15 +282,16 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, exclude_self: bool =
 
 
 def _by_cells(heads: DataFrame, cells: Cells, depth: int, block: int) -> DataFrame:
-    """``(qid, cid, d2, rank)`` by blocks of queries against blocks of the cells that they visit."""
-    left, right = cells.blocks(heads, None, block)
+    """``(qid, cid, d2, rank)`` by blocks of queries against the shards of cells that they visit."""
+    left, right = cells.tiles(heads, block)
+    shape = cells.shape()
 
     def compare(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(p):
             return pd.DataFrame({"qid": [], "cid": [], "d2": []}).astype({"qid": "int64", "cid": "int64"})
-        return _k_smallest(q["id"].to_numpy(), p["id"].to_numpy(), stack(q["x"]), stack(p["x"]), depth)
+        return _k_in_shard(shape, q, p, depth)
 
-    keys = ["cell", "sub", "chunk"]
+    keys = ["shard", "sub", "chunk"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "qid long, cid long, d2 double")
     return topn_per_group(found, ["qid"], ["d2", "cid"], depth)
 

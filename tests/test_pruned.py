@@ -168,6 +168,26 @@ def test_knn_join_by_tree_and_by_cells(spark, clustered):
     assert nearest.knn_join(few.limit(0), few, 3, tree_rows=100).count() == 0
 
 
+def test_queries_go_once_to_a_shard_where_no_cell_can_be_left_out(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1500, 16))
+    x[7] = x[900]
+    points = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "id long, x array<double>")
+    cells = nearest.Cells(points, 4, pivots=60)
+    sent, held = cells.tiles(points, 300)
+    shards = set(cells.shards(300).tolist())
+    # by cells it would be nearly 60 rows a query
+    assert 4 <= len(shards) <= 12
+    assert sent.select("id", "shard").distinct().count() <= len(shards) * 1500
+    assert held.groupBy("shard", "sub").agg(F.countDistinct("id").alias("n")).agg(F.max("n")).first()[0] <= 400
+    got = {}
+    for r in nearest.knn_join(points, points, 4, exclude_self=True, pivots=60, block=300).collect():
+        got.setdefault(r["qid"], []).append((r["rank"], r["cid"]))
+    for q in range(1500):
+        d = ((x - x[q]) ** 2).sum(1)
+        assert [i for _, i in sorted(got[q])] == [j for j in np.lexsort((np.arange(1500), d)) if j != q][:4]
+
+
 def test_weights_of_a_user_and_channel_are_picked_once(spark, sf):
     from millrace.plans.registry import QUERIES
     import millrace.plans.preparation  # noqa: F401
