@@ -369,6 +369,25 @@ def test_streams_equal_batches(spark, sf, tmp_path):
     assert np.allclose(pca.components, batch.components) and np.allclose(pca.variance, batch.variance)
 
 
+def test_context_counts_by_hashes_equal_brute_force(spark, monkeypatch):
+    texts = ["a b a a", "b", None, "", "c a b c c b", "solo"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    want = {}
+    for t in texts:
+        w = (t or "").split()
+        for p, x in enumerate(w):
+            for c in (c for c in range(max(0, p - 2), min(len(w), p + 3)) if c != p):
+                n, near, at = want.get(x, (0, set(), 0))
+                want[x] = n + 1, near | {w[c]}, at + c
+    pairs = text.skipgram_pairs(df, "id", "t", 2)
+    assert {r["target"]: tuple(r)[1:] for r in text.context_counts(pairs).collect()} == {x: (n, len(near), at) for x, (n, near, at) in want.items()}
+    # where two words have one hash the next seed is taken
+    asked = []
+    plain = F.xxhash64
+    monkeypatch.setattr(text.F, "xxhash64", lambda key, seed: (asked.append(seed), plain(key, seed) if len(asked) > 1 else F.lit(7).cast("long"))[1])
+    assert text._distinct_seed(spark.createDataFrame([("x",), ("y",)], "w string"), "w") == 1 and len(asked) == 2
+
+
 def test_skipgram_sample_is_subset(spark):
     df = spark.createDataFrame([(1, "a b c d e")], "id long, t string")
     every = {tuple(r) for r in text.skipgram_pairs(df, "id", "t", 2).collect()}
