@@ -124,6 +124,8 @@ def buckets(first: DataFrame, classes: DataFrame, docs: DataFrame, threshold: fl
             max_depth: int, repeated_ids: bool) -> tuple[DataFrame, DataFrame]:
     """The leaves ``(node, cls, size, n)`` of the recursion, and the sets of all classes in them."""
     def counted(rows: DataFrame) -> DataFrame:
+        # written first: counting and the two kinds of nodes below read it again, and would hash every set again for each
+        rows = cut(rows)
         n = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         rows = rows.join(n, "node")
         return cut(comparable(rows, threshold, small).unionByName(rows.where(F.col("n") > small).select("node", "cls", "size", "n")))

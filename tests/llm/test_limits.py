@@ -132,3 +132,31 @@ def test_sets_are_looked_up_once_for_all_their_nodes(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     # rows are grouped by class before they meet the sets
     assert "collect_list" in plan and plan.index("Join") < plan.index("collect_list")
+
+
+def test_sets_are_split_once_at_each_depth(spark, tmp_path, monkeypatch):
+    """Counting the children and dealing them to small and large nodes read what one run of the split has written."""
+    plain, made = jaccard.split, []
+
+    def split(rows, sets, depth, threshold):
+        out = plain(rows, sets, depth, threshold)
+        made.append(at := tmp_path / str(depth))
+        at.mkdir()
+
+        def seen(batches):
+            for batch in batches:
+                for cls, node in zip(batch.column("cls").to_pylist(), batch.column("node").to_pylist()):
+                    with open(at / f"{cls.hex()}{node}", "a") as f:
+                        f.write("x")
+                yield batch
+
+        return out.mapInArrow(seen, out.schema)
+
+    monkeypatch.setattr(jaccard, "split", split)
+    rng = np.random.default_rng(6)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, 120)]
+    texts = [" ".join([*base[:k], f"x{k}", *base[k + 1:]]) for k in range(0, 120, 10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["n_links"] for r in jaccard.jaccard_join(docs, small=3, recall=0.5).collect()} == {11}
+    times = [len(f.read_text()) for at in made for f in at.iterdir()]
+    assert len(made) > 1 and times and set(times) == {1}
