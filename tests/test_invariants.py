@@ -88,6 +88,40 @@ def test_predict_item_dense_twin(spark, hot, weight):
         assert r["pred"] == pytest.approx(want[r["u"], items.index(r["i"])], abs=1e-9)
 
 
+@pytest.mark.parametrize("heavy", [1_000, 12, 3])
+def test_predict_item_by_lists_and_by_pairs(spark, hot, heavy):
+    """Repeated cells add up, a wanted item may be rated, and nulls match nothing, whichever way a user or item goes."""
+    rows, _ = hot
+    rows = [*rows, (3, 0, 2.0), (3, 0, 1.0), (5, 7, 4.0), (5, 7, 4.0)]
+    df = spark.createDataFrame([*rows, (None, 1, 3.0), (4, None, 2.0), (61, 2, None)], "u long, i long, r double")
+    items, m, norm = sorted({i for _, i, _ in rows}), defaultdict(float), defaultdict(float)
+    for u, i, r in rows:
+        m[u, i] += r
+    for _, i, r in [*rows, (None, 1, 3.0)]:
+        norm[i] += r * r
+    x = {(u, i): r / math.sqrt(norm[i]) for (u, i), r in m.items()}
+    users = range(60)
+    sim = {(a, b): 1.0 if a == b else sum(x.get((v, a), 0) * x.get((v, b), 0) for v in users) for a in items for b in items}
+    cells = [(u, i) for u in range(0, 60, 5) for i in items] + [(None, 1), (4, None), (99, 0), (3, 99)]
+    got = {(r["u"], r["i"]): r["num"] for r in similarity._weighted_ratings(
+        *similarity_rows(df), spark.createDataFrame(cells, "u long, i long"), heavy).groupBy("u", "i").agg(F.sum("part").alias("num")).collect()}
+    for u, i in cells[:-4]:
+        want = sum(m.get((u, j), 0) * sim[i, j] for j in items)
+        assert (got.get((u, i)) or 0) == pytest.approx(want, abs=1e-9), (u, i)
+    assert not any(got.get(c) for c in cells[-4:])
+
+
+def similarity_rows(df):
+    norms = similarity.entity_norms(df, "i")
+    return df.join(norms, "i").select("u", "i", "r", (F.col("r") / F.col("norm")).alias("x")), norms
+
+
+def test_predict_item_makes_no_row_for_each_pair_of_items(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "pair_moments", lambda *a, **k: pytest.fail("pairs of items are made"))
+    df = spark.createDataFrame([(u, i, float(1 + (u + i) % 5)) for u in range(20) for i in range(8) if (u * i) % 3], "u long, i long, r double")
+    assert similarity.predict_item_based(df, df.select("u", "i")).count() == df.count()
+
+
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.dictionaries(st.tuples(st.integers(0, 6), st.integers(0, 6)), st.integers(1, 5), min_size=5, max_size=30))
 def test_similarities_in_range(spark, cells):
