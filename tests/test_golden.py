@@ -62,6 +62,13 @@ def test_svd_values_and_items(spark):
     assert np.allclose(np.abs([got[i][0] for i in range(11)]), np.abs(vt[0]), atol=1e-2)
 
 
+def test_svd_makes_no_block_after_the_last_round(spark, monkeypatch):
+    plain, made = factor._multiply, []
+    monkeypatch.setattr(factor, "_multiply", lambda *a: (made.append(a[3]), plain(*a))[1])
+    factor.SvdFactors(k=2, max_iter=3, tol=0.0).fit(dishes(spark))
+    assert made == ["u", "i", "u", "i", "u"]
+
+
 def test_svd_energy(spark):
     model = factor.SvdFactors(energy=0.9, max_iter=12, tol=1e-7).fit(dishes(spark))
     want = np.linalg.svd(np.array(DISHES, float), compute_uv=False) ** 2
