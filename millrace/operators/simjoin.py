@@ -16,13 +16,16 @@ two 64-bit sums of hashes and the row count, which differ for different rows but
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.operators.pairs import both_ways, light_terms
+from millrace.operators.pairs import best_partners, both_ways, feature_sizes, listed_sums
 from millrace.operators.windows import topn_per_group
-from millrace.session import cut
+from millrace.session import cut, small
 
 HEAVY = 256      # entities of a light feature at most
 BAND = 0.1       # width of a band of masses, as a natural logarithm
@@ -39,32 +42,38 @@ class UnitRows:
 
     def __init__(self, ratings: DataFrame, axis: str = "user", heavy: int = HEAVY):
         entity, feature = ("u", "i") if axis == "user" else ("i", "u")
-        rows = cut(ratings.groupBy(F.col(entity).cast("bigint").alias("e"), F.col(feature).cast("bigint").alias("f")).agg(
-            F.sum(F.col("r").cast("double")).alias("v")))
+        held = ratings.select(F.col(entity).cast("bigint").alias("e"), F.col(feature).cast("bigint").alias("f"), F.col("r").cast("double").alias("r"))
+        held = held.repartition("e").groupBy("e", "f").agg(F.sum("r").alias("v"))
+        squares = held.groupBy("e").agg(F.sum(F.col("v") * F.col("v")).alias("q")).where("q > 0")
+        rows = cut(held.join(squares, "e").select("e", "f", "v", "q"))
         mark = lambda k: F.sum(F.xxhash64("f", "v", F.lit(k)).cast("decimal(38,0)"))
-        marks = cut(rows.groupBy("e").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"), mark(1).alias("m1"), mark(2).alias("m2"),
-                                          F.count(F.lit(1)).alias("size")).where("norm > 0"))
-        names = marks.groupBy("m1", "m2", "size").agg(F.min("e").alias("class"), F.count(F.lit(1)).alias("copies"))
-        self.classes = cut(names.select("class", "copies"))
-        self.members = cut(marks.join(names, ["m1", "m2", "size"]).select("class", F.col("e").alias("id"), "norm"))
-        heads = self.members.where("class = id").select(F.col("id").alias("e"), "norm")
-        unit = rows.join(heads, "e").select("e", "f", (F.col("v") / F.col("norm")).alias("x"))
-        sizes = unit.groupBy("f").agg(F.count(F.lit(1)).alias("size"))
-        unit = cut(unit.join(sizes, "f"))
-        self.light = unit.where(F.col("size") <= heavy).select("e", "f", "x")
-        hot = unit.where(F.col("size") > heavy).withColumn("level", F.floor(4 * F.log2("size")))
+        marks = cut(rows.groupBy("e").agg(F.sqrt(F.max("q")).alias("norm"), mark(1).alias("m1"), mark(2).alias("m2"), F.count(F.lit(1)).alias("size")))
+        names = cut(marks.groupBy("m1", "m2", "size").agg(F.min("e").alias("class"), F.count(F.lit(1)).alias("copies")))
+        self.classes = names.select("class", "copies")
+        self.copied = not names.where("copies > 1").isEmpty()
+        self.members = marks.select(F.col("e").alias("class"), F.col("e").alias("id"), "norm")
+        if self.copied:
+            self.members = cut(marks.join(names, ["m1", "m2", "size"]).select("class", F.col("e").alias("id"), "norm"))
+            rows = rows.join(small(self.members.where("class <> id").select(F.col("id").alias("e"))), "e", "left_anti")
+        rows = rows.where("f is not null")
+        sizes = rows.groupBy("f").agg(F.count(F.lit(1)).alias("size"))
+        n_hot, _, self.met = feature_sizes(sizes, heavy)
+        self.light, self.any_heavy = rows, n_hot > 0
+        if not n_hot:
+            return
+        hot = cut(sizes.where(F.col("size") > heavy))
+        self.light = rows.join(small(hot.select("f")), "f", "left_anti")
+        hot = rows.join(hot, "f").select("e", "f", (F.col("v") / F.sqrt("q")).alias("x"), F.floor(4 * F.log2("size")).alias("level"))
         # at most some hundred levels for each entity
         onward = W.partitionBy("e").orderBy(F.desc("level")).rowsBetween(W.unboundedPreceding, 0)
         mass = hot.groupBy("e", "level").agg(F.sum(F.col("x") * F.col("x")).alias("m"), F.min("x").alias("least")).withColumns(
             {"s": F.sqrt(F.sum("m").over(onward)), "signed": F.min("least").over(onward) < 0})
         self.heavy = cut(hot.join(mass.select("e", "level", "s"), ["e", "level"]).select("e", "f", "x", "s", _band(F.col("s")).alias("band")))
         self.mass = cut(mass.groupBy("e").agg(F.max("s").alias("s"), F.max("signed").alias("signed")))
-        self.any_heavy = not self.heavy.isEmpty()
 
-    def light_pairs(self, both: bool = False) -> DataFrame:
-        """``(a, b, dot)`` with ``a < b``, or in both directions: sums over common light features, dealt by ``a``."""
-        rows = self.light.select("e", "f", F.col("x").alias("v"))
-        return light_terms(rows, ["sab"], both).groupBy("a", "b").agg(F.sum("sab").alias("dot"))
+    def light_pairs(self, both: bool = False, best: Callable | None = None) -> DataFrame:
+        """``(a, b, dot)`` with ``a < b``, or in both directions: sums over common light features; those that ``best`` keeps."""
+        return listed_sums(self.light, ["sab"], both, self.met, best).withColumnRenamed("sab", "dot")
 
     def with_reach(self, pairs: DataFrame) -> DataFrame:
         """Pairs with ``most``, which their similarity cannot exceed."""
@@ -98,10 +107,9 @@ def _band(s):
 
 def candidates_above(rows: UnitRows, bar: float) -> DataFrame:
     """``(a, b, dot)``: the class pairs whose similarity may reach ``bar``; only these are verified."""
-    light = rows.light_pairs()
     if not rows.any_heavy:
-        return light.where(F.col("dot") >= bar - SLACK)
-    light = cut(light)
+        return rows.light_pairs(best=lambda a, b, sums: np.flatnonzero(sums["sab"] >= bar - SLACK))
+    light = cut(rows.light_pairs())
     kept = rows.with_reach(light).where(F.col("most") >= bar - SLACK).select("a", "b", "dot")
     new = rows.heavy_pairs(None, bar).join(light, ["a", "b"], "left_anti").withColumn("dot", F.lit(0.0))
     return cut(kept.unionByName(new))
@@ -139,13 +147,13 @@ def cosine_partners_above(ratings: DataFrame, bar: float, axis: str = "user", he
 
 
 def _class_topn(rows: UnitRows, n: int) -> tuple[DataFrame, DataFrame]:
-    """``(a, b, sim)``: the n most similar other classes of each class; and the candidates that were verified for it."""
+    """``(a, b, sim, rank)``: the n most similar other classes of each class; and the candidates that were verified for it."""
     order = [F.round("sim", 9).desc(), F.asc("b")]
-    light = rows.light_pairs(both=True)
     if not rows.any_heavy:
-        sims = light.withColumnRenamed("dot", "sim")
-        return topn_per_group(sims, ["a"], order, n, "_r").drop("_r"), sims
-    light = cut(rows.with_reach(light))
+        # what is equal to nine digits to the n-th is ranked below
+        sims = rows.light_pairs(both=True, best=best_partners(n, lambda sums: sums["sab"], 2e-9)).withColumnRenamed("dot", "sim")
+        return topn_per_group(sims, ["a"], order, n), sims
+    light = cut(rows.with_reach(rows.light_pairs(both=True)))
     first = topn_per_group(light, ["a"], [F.desc("most"), F.asc("b")], 2 * n, "_r").select("a", "b", "dot")
     strongest = topn_per_group(rows.heavy, ["f"], [F.abs("x").desc(), F.asc("e")], 2 * n, "_r").select("f", F.col("e").alias("b"))
     own = topn_per_group(rows.heavy, ["e"], [F.abs("x").desc(), F.asc("f")], 2, "_r").select("f", F.col("e").alias("a"))
@@ -155,13 +163,16 @@ def _class_topn(rows: UnitRows, n: int) -> tuple[DataFrame, DataFrame]:
     kept = light.join(bars.withColumnRenamed("e", "a"), "a", "left").where(F.col("most") >= F.coalesce("bar", F.lit(-2.0)) - SLACK).select("a", "b", "dot")
     met = rows.heavy_pairs(bars).join(light, ["a", "b"], "left_anti").withColumn("dot", F.lit(0.0))
     candidates = cut(kept.unionByName(met))
-    return topn_per_group(rows.verified(candidates), ["a"], order, n, "_r").drop("_r"), candidates
+    return topn_per_group(rows.verified(candidates), ["a"], order, n), candidates
 
 
 def topn_cosine(ratings: DataFrame, n: int, axis: str = "user", heavy: int = HEAVY) -> DataFrame:
     """``(a, b, sim, rank)``: the n most similar partners of every entity; cosines equal to nine digits go by the lower id."""
     rows = UnitRows(ratings, axis, heavy)
     best, _ = _class_topn(rows, n)
+    if not rows.copied:
+        return best
+    best = best.drop("rank")
     same = rows.classes.where("copies > 1").select(F.col("class").alias("a"), F.col("class").alias("b"), F.lit(1.0).alias("sim"))
     # n + 1 ids of a class are enough for all, and one of them may be the entity itself
     few = topn_per_group(rows.members.select("class", "id"), ["class"], [F.asc("id")], n + 1, "_r").select(F.col("class").alias("b"), F.col("id").alias("other"))
